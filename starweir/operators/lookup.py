@@ -1,0 +1,96 @@
+"""Left outer equi-joins that add columns of a second table."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starweir.operators.skew import KEY_HASH, MAX_KEY_ROWS, hot_keys, key_hash
+
+# Measured bytes of a table up to which every executor may hold a copy.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_KEY = "_lookup_key"
+_SLICE = "_slice"
+
+
+def fits_in_memory(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether the actual contents of ``df`` stay within ``limit`` bytes."""
+    width = F.lit(16)
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(8)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return False
+        else:
+            width = width + F.lit(16)
+    size = df.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"]
+    return (size or 0) <= limit
+
+
+def lookup(
+    df: DataFrame,
+    other: DataFrame,
+    on: tuple[str, str],
+    columns: Mapping[str, str],
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    max_key_rows: int = MAX_KEY_ROWS,
+) -> DataFrame:
+    """Add ``columns`` of ``other`` (source name to new name) where ``on`` matches.
+
+    Every row of ``df`` is kept, with NULLs on a miss; a key that occurs more
+    than once in ``other`` repeats the row. ``other`` is broadcast if its needed
+    columns are measured to be small. Otherwise both sides are shuffled, after
+    the keys with more than ``max_key_rows`` rows in ``df`` (the NULL key among
+    them) are cut into slices, and their partners copied to each slice.
+    """
+    left_key, right_key = on
+    left_type, right_type = df.schema[left_key].dataType, other.schema[right_key].dataType
+    right = other.select(
+        F.col(right_key).alias(_KEY), *[F.col(old).alias(new) for old, new in columns.items()]
+    ).where(F.col(_KEY).isNotNull())
+    if left_type != right_type:
+        if not (isinstance(left_type, _INTEGRAL) and isinstance(right_type, _INTEGRAL)):
+            raise TypeError(f"{left_key} is {left_type}, {right_key} is {right_type}")
+
+    result = [*df.columns, *columns.values()]
+    if fits_in_memory(right, max_broadcast_bytes):
+        joined = df.join(F.broadcast(right), F.col(left_key) == F.col(_KEY), "left")
+        return joined.select(*result)
+
+    wide = isinstance(left_type, _INTEGRAL)
+    left = df.withColumn("_left_key", F.col(left_key).cast("bigint") if wide else F.col(left_key))
+    if wide:
+        right = right.withColumn(_KEY, F.col(_KEY).cast("bigint"))
+    same_key = F.col("_left_key") == F.col(_KEY)
+    hot = hot_keys(left, ["_left_key"], max_key_rows)
+    if not hot.num_rows:
+        return left.join(right, same_key, "left").select(*result)
+
+    slices = df.sparkSession.createDataFrame(hot).select(KEY_HASH, F.col("parts").alias("_parts"))
+    # The slice must not change when a lost task is run again: it depends on the
+    # row and on the input partition, which also divides identical rows.
+    spread = F.xxhash64(*[F.col(c) for c in df.columns]) + F.spark_partition_id()
+    left = (
+        left.withColumn(KEY_HASH, key_hash(["_left_key"]))
+        .join(F.broadcast(slices), KEY_HASH, "left")
+        .withColumn(
+            _SLICE,
+            F.when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")).cast("int"))
+            .otherwise(0),
+        )
+        .drop(KEY_HASH, "_parts")
+    )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    right = (
+        right.withColumn(KEY_HASH, key_hash([_KEY]))
+        .join(F.broadcast(slices), KEY_HASH, "left")
+        .withColumn("_right_slice", F.explode(copies))
+        .drop(KEY_HASH, "_parts")
+    )
+    joined = left.join(right, [same_key, F.col(_SLICE) == F.col("_right_slice")], "left")
+    return joined.select(*result)
