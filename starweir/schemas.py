@@ -11,26 +11,58 @@ from pyspark.sql import types as T
 UNKNOWN = "n/a"
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+_INT, _LONG, _DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
+_TEXT, _DATE = T.StringType(), T.DateType()
+
 # Source tables.
-CRM_CUSTOMER = _schema(
-    "cst_id INT, cst_key STRING, cst_firstname STRING, cst_lastname STRING, "
-    "cst_marital_status STRING, cst_gndr STRING, cst_create_date DATE"
+CRM_CUSTOMER = _table(
+    cst_id=_INT,
+    cst_key=_TEXT,
+    cst_firstname=_TEXT,
+    cst_lastname=_TEXT,
+    cst_marital_status=_TEXT,
+    cst_gndr=_TEXT,
+    cst_create_date=_DATE,
+)
+CRM_PRODUCT = _table(
+    prd_id=_INT,
+    prd_key=_TEXT,
+    prd_nm=_TEXT,
+    prd_cost=_INT,
+    prd_line=_TEXT,
+    prd_start_dt=_DATE,
+    prd_end_dt=_DATE,
+)
+CRM_SALES = _table(
+    sls_ord_num=_TEXT,
+    sls_prd_key=_TEXT,
+    sls_cust_id=_INT,
+    sls_order_dt=_INT,
+    sls_ship_dt=_INT,
+    sls_due_dt=_INT,
+    sls_sales=_INT,
+    sls_quantity=_INT,
+    sls_price=_INT,
+)
+ERP_CUSTOMER = _table(
+    cid=_TEXT,
+    bdate=_TEXT,
+    gen=_TEXT,
 )
-CRM_PRODUCT = _schema(
-    "prd_id INT, prd_key STRING, prd_nm STRING, prd_cost INT, prd_line STRING, "
-    "prd_start_dt DATE, prd_end_dt DATE"
+ERP_LOCATION = _table(
+    cid=_TEXT,
+    cntry=_TEXT,
 )
-CRM_SALES = _schema(
-    "sls_ord_num STRING, sls_prd_key STRING, sls_cust_id INT, sls_order_dt INT, "
-    "sls_ship_dt INT, sls_due_dt INT, sls_sales INT, sls_quantity INT, sls_price INT"
+ERP_CATEGORY = _table(
+    id=_TEXT,
+    cat=_TEXT,
+    subcat=_TEXT,
+    maintenance=_TEXT,
 )
-ERP_CUSTOMER = _schema("cid STRING, bdate STRING, gen STRING")
-ERP_LOCATION = _schema("cid STRING, cntry STRING")
-ERP_CATEGORY = _schema("id STRING, cat STRING, subcat STRING, maintenance STRING")
 
 SOURCES = {
     "cust_info": CRM_CUSTOMER,
@@ -43,13 +75,26 @@ SOURCES = {
 
 # Cleansed tables. Those that keep their source schema reuse it. The repaired
 # sales amount is a BIGINT because quantity * price may leave the INT range.
-CLEAN_PRODUCT = _schema(
-    "prd_id INT, cat_id STRING, prd_key STRING, prd_nm STRING, prd_cost INT, "
-    "prd_line STRING, prd_start_dt DATE, prd_end_dt DATE"
+CLEAN_PRODUCT = _table(
+    prd_id=_INT,
+    cat_id=_TEXT,
+    prd_key=_TEXT,
+    prd_nm=_TEXT,
+    prd_cost=_INT,
+    prd_line=_TEXT,
+    prd_start_dt=_DATE,
+    prd_end_dt=_DATE,
 )
-CLEAN_SALES = _schema(
-    "sls_ord_num STRING, sls_prd_key STRING, sls_cust_id INT, sls_order_dt DATE, "
-    "sls_ship_dt DATE, sls_due_dt DATE, sls_sales BIGINT, sls_quantity INT, sls_price DOUBLE"
+CLEAN_SALES = _table(
+    sls_ord_num=_TEXT,
+    sls_prd_key=_TEXT,
+    sls_cust_id=_INT,
+    sls_order_dt=_DATE,
+    sls_ship_dt=_DATE,
+    sls_due_dt=_DATE,
+    sls_sales=_LONG,
+    sls_quantity=_INT,
+    sls_price=_DOUBLE,
 )
 
 CLEANSED = {
@@ -62,19 +107,41 @@ CLEANSED = {
 }
 
 # Warehouse tables.
-DIM_CUSTOMER = _schema(
-    "customer_key BIGINT, customer_id INT, customer_number STRING, first_name STRING, "
-    "last_name STRING, country STRING, marital_status STRING, gender STRING, "
-    "birthdate STRING, create_date DATE"
+DIM_CUSTOMER = _table(
+    customer_key=_LONG,
+    customer_id=_INT,
+    customer_number=_TEXT,
+    first_name=_TEXT,
+    last_name=_TEXT,
+    country=_TEXT,
+    marital_status=_TEXT,
+    gender=_TEXT,
+    birthdate=_TEXT,
+    create_date=_DATE,
 )
-DIM_PRODUCT = _schema(
-    "product_key BIGINT, product_id INT, product_number STRING, product_name STRING, "
-    "category_id STRING, category STRING, subcategory STRING, maintenance STRING, "
-    "cost INT, product_line STRING, start_date DATE"
+DIM_PRODUCT = _table(
+    product_key=_LONG,
+    product_id=_INT,
+    product_number=_TEXT,
+    product_name=_TEXT,
+    category_id=_TEXT,
+    category=_TEXT,
+    subcategory=_TEXT,
+    maintenance=_TEXT,
+    cost=_INT,
+    product_line=_TEXT,
+    start_date=_DATE,
 )
-FACT_SALES = _schema(
-    "order_number STRING, product_key BIGINT, customer_key BIGINT, order_date DATE, "
-    "shipping_date DATE, due_date DATE, sales_amount BIGINT, quantity INT, price DOUBLE"
+FACT_SALES = _table(
+    order_number=_TEXT,
+    product_key=_LONG,
+    customer_key=_LONG,
+    order_date=_DATE,
+    shipping_date=_DATE,
+    due_date=_DATE,
+    sales_amount=_LONG,
+    quantity=_INT,
+    price=_DOUBLE,
 )
 
 WAREHOUSE = {

@@ -66,14 +66,13 @@ def ingest_summary(result: DataFrame) -> DataFrame:
 def land_csv_folder(
     spark: SparkSession, folder: str, root: str, format: str = "parquet"
 ) -> DataFrame:
-    """Copy every CSV file of ``folder`` to the raw layer, one table per file.
+    """Copy every ``*.csv`` of ``folder``, a file or a folder of part files, to
+    the raw layer, one table each, named by what precedes ``.csv``.
 
-    Values stay the text they are in the file. Returns what ingest_tables returns,
-    with the file's name up to ``.csv`` as the table's name.
+    Values stay the text they are. Returns what ingest_tables returns.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    paths = {
-        row.path.rsplit("/", 1)[-1].removesuffix(".csv"): row.path
-        for row in listed.select("path").collect()
-    }
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.csv")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    entries = [entry.getPath() for entry in files.globStatus(pattern) or []]
+    paths = {path.getName().removesuffix(".csv"): path.toString() for path in entries}
     return ingest_tables(spark, sorted(paths), lambda name: read_csv(spark, paths[name]), root, format)
