@@ -9,7 +9,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starweir.operators.skew import KEY_HASH, MAX_KEY_ROWS, hot_keys, key_hash, position_in
+from starweir.operators.skew import (
+    MAX_KEY_ROWS,
+    hot_key_cuts,
+    hot_keys,
+    position_in,
+    with_hot,
+)
 from starweir.staging import stage
 
 _ORIGIN = "_origin"
@@ -59,27 +65,23 @@ def validity_ranges(
     columns = df.columns if end in df.columns else [*df.columns, end]
     following = F.lead(start).over(Window.partitionBy(*keys).orderBy(*order))
 
-    origin = df.withColumn(_ORIGIN, F.spark_partition_id())
-    hot = hot_keys(origin, keys, max_key_rows, [*order, _ORIGIN])
+    hot = hot_keys(df, keys, max_key_rows)
     if not hot.num_rows:
         return df.withColumn(end, F.date_sub(following, 1))
 
-    # As large as the answer of hot_keys, which grows with rows / max_key_rows only.
-    hashes = df.sparkSession.createDataFrame(hot.select([KEY_HASH]))
-    hashed = df.withColumn(KEY_HASH, key_hash(keys))
-    cold = hashed.join(F.broadcast(hashes), KEY_HASH, "left_anti").withColumn(_NEXT, following)
-    ranged = _ranged_next(origin, keys, order, hot)
-    return (
-        cold.unionByName(ranged, allowMissingColumns=True)
-        .withColumn(end, F.date_sub(_NEXT, 1))
-        .select(*columns)
-    )
+    origin = df.withColumn(_ORIGIN, F.spark_partition_id())
+    cuts = hot_key_cuts(origin, keys, [*order, _ORIGIN], hot, max_key_rows)
+    # Both sides go by the same list, so that no key is left out or taken twice.
+    cold = with_hot(df, keys, cuts.select(list(keys)), "left_anti").withColumn(_NEXT, following)
+    ranged = _ranged_next(origin, keys, order, cuts)
+    return cold.unionByName(ranged).withColumn(end, F.date_sub(_NEXT, 1)).select(*columns)
 
 
 def _ranged_next(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: pa.Table
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: pa.Table
 ) -> DataFrame:
-    """The rows of the ``hot`` keys with the next value of the leading order column.
+    """The rows of the keys in ``cuts`` with the next value of the leading order
+    column.
 
     Each key is divided at its cuts into ranges of the order, ending in the input
     partition so that copies of one row can be divided too. The last row of a
@@ -87,13 +89,11 @@ def _ranged_next(
     """
     start = order[0]
     position = F.struct(*[F.col(c) for c in [*order, _ORIGIN]])
-    longest = pc.max(pc.list_value_length(hot["cuts"])).as_py()
-    cuts = df.sparkSession.createDataFrame(hot).select(KEY_HASH, "cuts")
+    longest = pc.max(pc.list_value_length(cuts["_cuts"])).as_py() or 0
     tagged = (
-        df.withColumn(KEY_HASH, key_hash(keys))
-        .join(F.broadcast(cuts), KEY_HASH)
-        .withColumn("_range", position_in(F.col("cuts"), position, longest))
-        .drop(KEY_HASH, "cuts", _ORIGIN)
+        with_hot(df, keys, cuts, "inner")
+        .withColumn("_range", position_in(F.col("_cuts"), position, longest))
+        .drop("_cuts", _ORIGIN)
     )
     # Both uses below must see the same ranges, whatever partitions they read.
     tagged = stage(tagged, "ranges")
@@ -111,6 +111,7 @@ def _ranged_next(
     inside = Window.partitionBy(*keys, "_range").orderBy(*order)
     ranged = tagged.withColumn("_inside", F.lead(F.struct(start)).over(inside))
     same_range = [F.col(k).eqNullSafe(F.col(f"_head_{i}")) for i, k in enumerate(keys)]
+    # One head per range, so at most about one per max_key_rows rows.
     joined = ranged.join(
         F.broadcast(heads), [F.col("_range") == F.col("_head_range"), *same_range], "left"
     )

@@ -2,13 +2,15 @@
 
 Hash partitioning puts all rows of a key into one task. The operators that need
 it ask here first, and divide only the keys that are too big; with none, they
-keep the plain plan.
+keep the plain plan. The answers are estimates: they decide how work is spread,
+never what the result is.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,53 +21,66 @@ MAX_KEY_ROWS = 20_000_000
 # Sampled rows that stand for MAX_KEY_ROWS rows.
 SAMPLE_PER_PART = 50
 
-KEY_HASH = "_key_hash"
 
+def _sample(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """A sample, and the number of its rows that stand for ``max_rows``."""
+    rate = min(1.0, SAMPLE_PER_PART / max_rows)
+    return (df.sample(rate, seed=7) if rate < 1.0 else df), max(1, int(max_rows * rate))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_KEY_ROWS) -> pa.Table:
+    """The keys estimated to hold more than ``max_rows`` rows, NULL among them,
+    and into how many ``parts`` to divide each.
+
+    One pass over the key columns, of which a sample is shuffled that shrinks as
+    ``max_rows`` grows. There is at most about one hot key per ``max_rows`` rows.
+    """
+    sampled, per_part = _sample(df.select(*keys), max_rows)
+    parts = F.ceil(F.col("seen") / F.lit(per_part)).cast("int").alias("parts")
+    return (
+        sampled.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("seen"))
+        .where(F.col("seen") > per_part)
+        .select(*keys, parts)
+        .toArrow()
+    )
 
-def key_hash(keys: Sequence[str]) -> Column:
-    """One long per key; NULL keys hash like any other value. Two keys that share
-    a hash are merely divided together."""
-    return F.xxhash64(*[F.col(k) for k in keys])
 
+def with_hot(
+    df: DataFrame, keys: Sequence[str | Column], hot: pa.Table, how: str = "left"
+) -> DataFrame:
+    """Join the ``hot`` table, whose leading columns are the keys, and add its
+    remaining columns. It is as small as the answers of this module are."""
+    names = hot.column_names[: len(keys)]
+    renamed = hot.rename_columns([f"_hot_{n}" for n in names] + hot.column_names[len(keys) :])
+    same = [
+        (F.col(k) if isinstance(k, str) else k).eqNullSafe(F.col(f"_hot_{n}"))
+        for k, n in zip(keys, names)
+    ]
+    small = F.broadcast(df.sparkSession.createDataFrame(renamed))
+    joined = df.join(small, reduce(Column.__and__, same), how)
+    return joined.drop(*[f"_hot_{n}" for n in names])
 
-def hot_keys(
+
+def hot_key_cuts(
     df: DataFrame,
     keys: Sequence[str],
+    order: Sequence[str],
+    hot: pa.Table,
     max_rows: int = MAX_KEY_ROWS,
-    order: Sequence[str] = (),
 ) -> pa.Table:
-    """The keys estimated to hold more than ``max_rows`` rows.
-
-    One pass over the key and order columns of a sample whose rate shrinks as
-    ``max_rows`` grows. Each row carries the key's hash, the number of ``parts``
-    to divide it into, and with ``order`` the ``cuts``, ascending structs of the
-    order columns about ``max_rows`` rows apart. The answer has at most about one
-    part per ``max_rows`` input rows, which is what reaches the driver.
-    """
-    rate = min(1.0, SAMPLE_PER_PART / max_rows)
-    per_part = max(1, int(max_rows * rate))
-    position = F.struct(*[F.col(c) for c in order]) if order else F.lit(None)
-    sampled = df.select(key_hash(keys).alias(KEY_HASH), position.alias("position"))
-    if rate < 1.0:
-        sampled = sampled.sample(rate, seed=7)
-
-    aggregates = [F.count(F.lit(1)).alias("seen")]
-    if order:
-        aggregates.append(F.collect_list("position").alias("positions"))
-    grouped = (
-        sampled.groupBy(KEY_HASH)
-        .agg(*aggregates)
-        .where(F.col("seen") > per_part)
-        .withColumn("parts", F.ceil(F.col("seen") / F.lit(per_part)).cast("int"))
+    """For each of the ``hot`` keys its ``cuts``: ascending structs of the order
+    columns, about ``max_rows`` rows apart. At most about one per ``max_rows`` rows."""
+    position = F.struct(*[F.col(c) for c in order])
+    sampled, per_part = _sample(df.select(*keys, position.alias("_position")), max_rows)
+    cuts = F.filter("_positions", lambda _, i: i % per_part == per_part - 1)
+    return (
+        with_hot(sampled, keys, hot.select(list(keys)), "left_semi")
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list("_position")).alias("_positions"))
+        .select(*keys, cuts.alias("_cuts"))
+        .toArrow()
     )
-    columns = [F.col(KEY_HASH), F.col("parts")]
-    if order:
-        columns.append(
-            F.filter(F.array_sort("positions"), lambda _, i: i % per_part == per_part - 1).alias(
-                "cuts"
-            )
-        )
-    return grouped.select(*columns).toArrow()
 
 
 def position_in(cuts: Column, value: Column, longest: int) -> Column:
@@ -77,7 +92,7 @@ def position_in(cuts: Column, value: Column, longest: int) -> Column:
     start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
 
     def halve(span: Column, _: Column) -> Column:
-        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        middle = F.shiftright(span["low"] + span["high"], 1)
         done = span["low"] >= span["high"]
         below = F.get(cuts, middle) < value
         return F.struct(
