@@ -25,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _int_date(date: str) -> str:
+    return f"year({date}) * 10000 + month({date}) * 100 + day({date})"
+
+
 def crm_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a record of its customer at that date."""
     return conform(
@@ -77,9 +81,9 @@ def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ELSE 'P' || lpad(l_partkey DIV 3, 12, '0') END AS sls_prd_key",
             "CASE WHEN l_returnflag <> 'R' OR l_linenumber <> 6 THEN o_custkey END AS sls_cust_id",
             "CASE q WHEN 1 THEN 0 WHEN 2 THEN 5489 WHEN 3 THEN 20101345 WHEN 4 THEN NULL "
-            "ELSE CAST(date_format(o_orderdate, 'yyyyMMdd') AS INT) END AS sls_order_dt",
-            "CAST(date_format(l_shipdate, 'yyyyMMdd') AS INT) AS sls_ship_dt",
-            "CAST(date_format(date_add(l_shipdate, 7), 'yyyyMMdd') AS INT) AS sls_due_dt",
+            f"ELSE {_int_date('o_orderdate')} END AS sls_order_dt",
+            f"{_int_date('l_shipdate')} AS sls_ship_dt",
+            f"{_int_date('date_add(l_shipdate, 7)')} AS sls_due_dt",
             "CASE l_returnflag || l_linestatus WHEN 'AF' THEN NULL WHEN 'RF' THEN -q * unit "
             "WHEN 'NO' THEN 999 ELSE q * unit END AS sls_sales",
             "CASE WHEN l_linenumber = 5 AND l_linestatus = 'O' THEN 0 ELSE q END AS sls_quantity",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from starweir.functions import (
     split_key,
     strip_prefix,
 )
+from starweir.jobs import at_once
 from starweir.operators import (
     current_version,
     dense_key,
@@ -41,8 +43,8 @@ from starweir.operators.quality import (
     row_counts,
 )
 from starweir.plans.cleanse import cleansers
-from starweir.plans.run import ERP_TABLES, Layers, run
-from starweir.plans.star import build_dim_customer, build_dim_product, build_fact_sales, build_star
+from starweir.plans.run import CRM_TABLES, ERP_TABLES, Layers, run
+from starweir.plans.star import build_dim_customer, build_dim_product, build_star
 from starweir.plans.warehouse import FolderWarehouse, load_warehouse
 from starweir.sources import (
     import_delimited,
@@ -103,7 +105,11 @@ def _twentieth(df: DataFrame) -> int:
 def _cleansed(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Cleansed tables, written first, as the star schema expects them."""
     transforms = cleansers(F.lit(CLEANSE_AS_OF))
-    return [stage(transforms[n](SOURCE_TABLES[n](spark, sf_dir)), n) for n in names]
+
+    def job(name: str) -> DataFrame:
+        return stage(transforms[name](SOURCE_TABLES[name](spark, sf_dir)), name)
+
+    return at_once([partial(job, name) for name in names])
 
 
 # Counts and checks.
@@ -111,7 +117,8 @@ def _cleansed(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 @_query
 def validate_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_counts({name: table(spark, sf_dir, name) for name in TABLES})
+    tables = at_once([partial(table, spark, sf_dir, name) for name in TABLES])
+    return row_counts(dict(zip(TABLES, tables)))
 
 
 @_query
@@ -410,9 +417,7 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (sales,) = _cleansed(spark, sf_dir, "sales_details")
-    facts = build_fact_sales(sales, _dim_product(spark, sf_dir), _dim_customer(spark, sf_dir))
-    return _plain(facts.withColumn("price", F.round("price", 4)))
+    return _plain(_star(spark, sf_dir)["fact_sales"].withColumn("price", F.round("price", 4)))
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -486,10 +491,12 @@ def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "run")
-    for name in SOURCE_TABLES:
-        if name not in ERP_TABLES:
-            source = SOURCE_TABLES[name](spark, sf_dir)
-            write_table(source, f"{root}/crm/{name}.csv", "csv", **KEEP_BLANKS)
+
+    def export(name: str) -> None:
+        source = SOURCE_TABLES[name](spark, sf_dir)
+        write_table(source, f"{root}/crm/{name}.csv", "csv", **KEEP_BLANKS)
+
+    at_once([partial(export, name) for name in CRM_TABLES])
     return run(
         Layers(spark, root),
         f"{root}/crm",

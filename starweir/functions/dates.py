@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 
 def parse_int_date(column: Column) -> Column:
     """``20101229`` as a date. Zero, any other number of digits, and digits that
-    name no day give NULL."""
-    digits = column.cast("string")
-    text = F.concat_ws(
-        "-", digits.substr(1, 4), digits.substr(5, 2), digits.substr(7, 2)
+    name no day give NULL.
+
+    Arithmetic on the number avoids building and parsing a text per row, and the
+    conditions keep values that ANSI mode refuses away from ``make_date``.
+    """
+    number = column.try_cast("int")
+    month, day = F.floor(number / 100) % 100, number % 100
+    first = F.make_date(F.floor(number / 10000), month, F.lit(1))
+    return F.when(
+        number.between(10_000_000, 99_999_999)
+        & month.between(1, 12)
+        & day.between(1, F.dayofmonth(F.last_day(first))),
+        F.date_add(first, (day - 1).cast("int")),
     )
-    return F.when(F.length(digits) == 8, text.try_cast("date"))
 
 
 def null_future(column: Column, as_of: Column | None = None) -> Column:

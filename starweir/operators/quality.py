@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +35,15 @@ ERP_CONSTRAINTS = {
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table: table_name, row_count."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """One row per table: table_name, row_count. All tables are counted in one
+    aggregation, of which only partial counts are shuffled."""
+    marks = [df.select(F.lit(name).alias("table_name"), F.lit(1).alias("n")) for name, df in tables.items()]
+    spark = next(iter(tables.values())).sparkSession
+    # Makes tables without rows appear.
+    none = pa.table({"table_name": list(tables), "n": pa.array([0] * len(tables), pa.int32())})
+    marks.append(spark.createDataFrame(none))
+    rows = reduce(DataFrame.unionByName, marks)
+    return rows.groupBy("table_name").agg(F.sum("n").alias("row_count"))
 
 
 def compare_counts(counts: DataFrame, expected: Mapping[str, int]) -> DataFrame:
@@ -129,21 +131,22 @@ def readiness(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
     Only the listing is read, not the contents, and nothing is created.
     """
-    listings = []
+    # Makes paths without files appear.
+    none = pa.table({"name": list(paths), "length": pa.nulls(len(paths), pa.int64())})
+    listings = [spark.createDataFrame(none)]
     for name, path in paths.items():
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
         try:
-            listed = files.load(path).select("length")
+            listings.append(files.load(path).select(F.lit(name).alias("name"), "length"))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            listed = spark.createDataFrame([], "length bigint")
-        listings.append(
-            listed.agg(
-                F.count("length").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
-            ).select(F.lit(name).alias("name"), (F.col("files") > 0).alias("present"), "files", "bytes")
-        )
-    return reduce(DataFrame.unionByName, listings)
+    return (
+        reduce(DataFrame.unionByName, listings)
+        .groupBy("name")
+        .agg(F.count("length").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+        .select("name", (F.col("files") > 0).alias("present"), "files", "bytes")
+    )
 
 
 def require_ready(spark: SparkSession, paths: Mapping[str, str]) -> None:

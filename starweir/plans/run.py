@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starweir.jobs import at_once
 from starweir.operators.quality import compare_counts, require_ready
 from starweir.plans.cleanse import cleansers
 from starweir.plans.star import build_dim_customer, build_dim_product, build_fact_sales
@@ -18,7 +19,6 @@ from starweir.sources import conform, ingest_tables, land_csv_folder, read_table
 
 CRM_TABLES = ("cust_info", "prd_info", "sales_details")
 ERP_TABLES = ("customers", "customer_locations", "product_categories")
-JOBS_IN_FLIGHT = 6
 
 
 @dataclass
@@ -51,8 +51,13 @@ def ingest(
 ) -> DataFrame:
     """Fill the raw layer from the CRM's CSV files and the ERP's tables."""
     root, spark = f"{layers.root}/raw", layers.spark
-    landed = land_csv_folder(spark, crm_folder, root, layers.format)
-    return landed.unionByName(ingest_tables(spark, erp_tables, read_erp, root, layers.format))
+    landed, copied = at_once(
+        [
+            partial(land_csv_folder, spark, crm_folder, root, layers.format),
+            partial(ingest_tables, spark, erp_tables, read_erp, root, layers.format),
+        ]
+    )
+    return landed.unionByName(copied)
 
 
 def cleanse(
@@ -67,8 +72,7 @@ def cleanse(
         source = conform(layers.read("raw", table), SOURCES[table])
         return layers.write("cleansed", table, transforms[table](source))
 
-    with ThreadPoolExecutor(JOBS_IN_FLIGHT) as pool:
-        return dict(zip(tables, pool.map(job, tables)))
+    return dict(zip(tables, at_once([partial(job, t) for t in tables])))
 
 
 def model(layers: Layers) -> dict[str, int]:
@@ -87,9 +91,7 @@ def model(layers: Layers) -> dict[str, int]:
         built = build_dim_product(cleansed("prd_info"), cleansed("product_categories"))
         return layers.write("star", "dim_product", built)
 
-    with ThreadPoolExecutor(2) as pool:
-        dimensions = pool.submit(customers), pool.submit(products)
-        rows = {"dim_customer": dimensions[0].result(), "dim_product": dimensions[1].result()}
+    rows = dict(zip(("dim_customer", "dim_product"), at_once([customers, products])))
     facts = build_fact_sales(
         cleansed("sales_details"), *[star_table(layers, t) for t in ("dim_product", "dim_customer")]
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweir.functions import prefer
+from starweir.jobs import at_once
 from starweir.operators import current_version, dense_key, lookup
 from starweir.operators.lookups import MAX_BROADCAST_BYTES, fits_in_memory
 from starweir.schemas import DIM_CUSTOMER, DIM_PRODUCT, FACT_SALES
@@ -101,9 +102,13 @@ def build_fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame
 
 def build_star(cleansed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Both dimensions and the fact, from the cleansed tables by name."""
-    customers = build_dim_customer(
-        cleansed["cust_info"], cleansed["customers"], cleansed["customer_locations"]
+    customers, products = at_once(
+        [
+            lambda: build_dim_customer(
+                cleansed["cust_info"], cleansed["customers"], cleansed["customer_locations"]
+            ),
+            lambda: build_dim_product(cleansed["prd_info"], cleansed["product_categories"]),
+        ]
     )
-    products = build_dim_product(cleansed["prd_info"], cleansed["product_categories"])
     facts = build_fact_sales(cleansed["sales_details"], products, customers)
     return {"dim_customer": customers, "dim_product": products, "fact_sales": facts}

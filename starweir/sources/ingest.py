@@ -4,15 +4,15 @@ tables are in flight at a time."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starweir.jobs import at_once
 from starweir.sources.files import read_csv, write_table
 
 RESULT = "table_name string, row_count bigint, status string, message string"
-TABLES_IN_FLIGHT = 4
 
 
 class IngestError(RuntimeError):
@@ -45,8 +45,7 @@ def ingest_tables(
             return name, None, "failed", str(error)
         return name, rows, "loaded" if rows else "empty", None
 
-    with ThreadPoolExecutor(TABLES_IN_FLIGHT) as pool:
-        outcomes = list(pool.map(ingest, names))
+    outcomes = at_once([partial(ingest, name) for name in names])
     result = spark.createDataFrame(outcomes, RESULT)
     failed = [name for name, _, status, _ in outcomes if status == "failed"]
     if failed or not outcomes:
