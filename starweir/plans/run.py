@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -16,6 +16,7 @@ from starweir.plans.star import build_dim_customer, build_dim_product, build_fac
 from starweir.plans.warehouse import Warehouse, load_warehouse
 from starweir.schemas import CLEANSED, SOURCES, WAREHOUSE
 from starweir.sources import conform, ingest_tables, land_csv_folder, read_table, write_table
+from starweir.staging import temporary
 
 CRM_TABLES = ("cust_info", "prd_info", "sales_details")
 ERP_TABLES = ("customers", "customer_locations", "product_categories")
@@ -61,41 +62,50 @@ def ingest(
 
 
 def cleanse(
-    layers: Layers, as_of: Column | None = None, labelled_gender: bool = True
+    layers: Layers,
+    as_of: Column | None = None,
+    labelled_gender: bool = True,
+    tables: Sequence[str] = (*CRM_TABLES, *ERP_TABLES),
 ) -> dict[str, int]:
-    """Raw to cleansed; the six tables do not depend on each other."""
-    tables = [*CRM_TABLES, *ERP_TABLES]
+    """Raw to cleansed, returning the rows of each table. The tables do not depend
+    on each other."""
     require_ready(layers.spark, {t: layers.path("raw", t) for t in tables})
     transforms = cleansers(as_of, labelled_gender)
 
     def job(table: str) -> int:
         source = conform(layers.read("raw", table), SOURCES[table])
-        return layers.write("cleansed", table, transforms[table](source))
+        with temporary(layers.spark):
+            return layers.write("cleansed", table, transforms[table](source))
 
     return dict(zip(tables, at_once([partial(job, t) for t in tables])))
 
 
 def model(layers: Layers) -> dict[str, int]:
-    """Cleansed to star schema. The fact reads the dimensions that were written."""
+    """Cleansed to star schema, returning the rows of each table. The fact reads
+    the dimensions that were written."""
 
     def cleansed(table: str) -> DataFrame:
         return layers.read("cleansed", table, CLEANSED[table])
 
-    def customers() -> int:
-        built = build_dim_customer(
+    def customers() -> DataFrame:
+        return build_dim_customer(
             cleansed("cust_info"), cleansed("customers"), cleansed("customer_locations")
         )
-        return layers.write("star", "dim_customer", built)
 
-    def products() -> int:
-        built = build_dim_product(cleansed("prd_info"), cleansed("product_categories"))
-        return layers.write("star", "dim_product", built)
+    def products() -> DataFrame:
+        return build_dim_product(cleansed("prd_info"), cleansed("product_categories"))
 
-    rows = dict(zip(("dim_customer", "dim_product"), at_once([customers, products])))
-    facts = build_fact_sales(
-        cleansed("sales_details"), *[star_table(layers, t) for t in ("dim_product", "dim_customer")]
-    )
-    return rows | {"fact_sales": layers.write("star", "fact_sales", facts)}
+    def facts() -> DataFrame:
+        dimensions = [star_table(layers, t) for t in ("dim_product", "dim_customer")]
+        return build_fact_sales(cleansed("sales_details"), *dimensions)
+
+    def job(table: str, build: Callable[[], DataFrame]) -> int:
+        with temporary(layers.spark):
+            return layers.write("star", table, build())
+
+    dimensions = {"dim_customer": customers, "dim_product": products}
+    rows = at_once([partial(job, table, build) for table, build in dimensions.items()])
+    return dict(zip(dimensions, rows)) | {"fact_sales": job("fact_sales", facts)}
 
 
 def star_table(layers: Layers, table: str) -> DataFrame:
@@ -103,6 +113,11 @@ def star_table(layers: Layers, table: str) -> DataFrame:
     return layers.read("star", table, WAREHOUSE[table])
 
 
+def load(layers: Layers, warehouse: Warehouse) -> DataFrame:
+    """Star schema to warehouse."""
+    return load_warehouse({t: star_table(layers, t) for t in WAREHOUSE}, warehouse)
+
+
 def run(
     layers: Layers,
     crm_folder: str,
@@ -117,5 +132,4 @@ def run(
     ingest(layers, crm_folder, erp_tables, read_erp)
     cleanse(layers, as_of, labelled_gender)
     written = model(layers)
-    loaded = load_warehouse({t: star_table(layers, t) for t in WAREHOUSE}, warehouse)
-    return compare_counts(loaded.select("table_name", "row_count"), written)
+    return compare_counts(load(layers, warehouse).select("table_name", "row_count"), written)

@@ -8,10 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_staged_here: ContextVar[list[str] | None] = ContextVar("staged_here", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,17 +36,41 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def _file_system(spark: SparkSession, location: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one, removed when the session's JVM ends."""
+    """A new folder below the shared one, removed when the session's JVM ends, or
+    with the enclosing :func:`temporary` block."""
     location = f"{scratch_root(spark)}/starweir/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(location)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, path = _file_system(spark, location)
     files.mkdirs(path)
     files.deleteOnExit(path)
+    open_block = _staged_here.get()
+    if open_block is not None:
+        open_block.append(location)
     return location
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Remove what this thread stages inside the block when the block ends.
+
+    For a result that is written elsewhere before then.
+    """
+    locations: list[str] = []
+    token = _staged_here.set(locations)
+    try:
+        yield
+    finally:
+        _staged_here.reset(token)
+        for location in locations:
+            files, path = _file_system(spark, location)
+            files.delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
     location = scratch_path(df.sparkSession, name)
