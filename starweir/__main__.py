@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import argparse
 import datetime
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starweir.operators.quality import ERP_CONSTRAINTS
 from starweir.plans import run as steps
 from starweir.sources import JdbcDatabase
 
@@ -41,6 +43,12 @@ def _database(spark: SparkSession, words: list[str]) -> JdbcDatabase:
     return JdbcDatabase(spark, properties.pop("url"), properties.pop("driver"), properties)
 
 
+def _read_divided(erp: JdbcDatabase, table: str) -> DataFrame:
+    """Tables whose key is known are read over several connections."""
+    known = ERP_CONSTRAINTS.get(table)
+    return erp.read(table, divide_by=known.key[0] if known else None)
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"starweir {options.step}").getOrCreate()
@@ -50,7 +58,7 @@ def main(arguments: list[str] | None = None) -> None:
     if "ingest" in wanted:
         erp = _database(spark, options.erp)
         tables = erp.tables(options.erp_schema) if options.erp_schema else steps.ERP_TABLES
-        steps.ingest(layers, options.crm, tables, erp.read).show(truncate=False)
+        steps.ingest(layers, options.crm, tables, partial(_read_divided, erp)).show(truncate=False)
     if "cleanse" in wanted:
         as_of = F.lit(options.as_of) if options.as_of else None
         chosen = options.tables or (*steps.CRM_TABLES, *steps.ERP_TABLES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -46,16 +47,20 @@ class JdbcDatabase:
     def read(
         self,
         table: str,
+        divide_by: str | None = None,
         partition_column: str | None = None,
         predicates: Sequence[str] | None = None,
     ) -> DataFrame:
-        """The whole table.
+        """The whole table, over several connections if it is divided.
 
-        One connection reads it unless it is divided: by the range of a numeric,
-        date or timestamp ``partition_column``, whose bounds the database tells,
-        or by ``predicates``, one per task, that together match each row once.
+        ``divide_by`` is a key of any type: the database tells where to cut it so
+        that the ranges hold equally many rows. ``partition_column`` is a number,
+        date or timestamp that is cut into ranges of equal width. ``predicates``,
+        one per task, must together match each row once.
         """
         options = {**self._options(), "fetchsize": str(self.batch_rows)}
+        if divide_by is not None:
+            predicates = self.key_ranges(table, divide_by)
         if predicates is not None:
             return self.spark.read.jdbc(
                 self.url, table, predicates=list(predicates), properties=options
@@ -73,6 +78,27 @@ class JdbcDatabase:
                 }
         return self.spark.read.format("jdbc").options(**options, dbtable=table).load()
 
+    def key_ranges(self, table: str, key: str) -> list[str]:
+        """Conditions that cut ``table`` into ranges of ``key``, one per connection.
+
+        The cuts come from the database in its own order, which need not be ours.
+        Leaving one out only makes a range wider, so texts that would need
+        escaping are not used.
+        """
+        tiles = (
+            f"SELECT {key} AS k, NTILE({self.connections}) OVER (ORDER BY {key}) AS tile "
+            f"FROM {table} WHERE {key} IS NOT NULL"
+        )
+        found = self.query(f"SELECT tile, MIN(k) AS k FROM ({tiles}) t GROUP BY tile").collect()
+        lows = [low for _, low in sorted(tuple(row) for row in found)][1:]
+        cuts = [c for c in dict.fromkeys(map(_literal, lows)) if c]
+        starts = [None, *(f"{key} >= {c}" for c in cuts)]
+        stops = [*(f"{key} < {c}" for c in cuts), None]
+        ranges = [" AND ".join(filter(None, both)) for both in zip(starts, stops)]
+        if not cuts:
+            return ["1 = 1"]
+        return [f"{ranges[0]} OR {key} IS NULL", *ranges[1:]]
+
     def replace(
         self,
         df: DataFrame,
@@ -106,3 +132,12 @@ class JdbcDatabase:
     def count(self, table: str) -> int:
         """Rows in ``table``, counted by the database."""
         return int(self.query(f"SELECT COUNT(*) FROM {table}").first()[0])
+
+
+def _literal(value: object) -> str | None:
+    """A cut as SQL; None for text with characters that databases escape in
+    different ways."""
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    text = str(value)
+    return None if "'" in text or "\\" in text else f"'{text}'"

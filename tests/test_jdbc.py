@@ -96,6 +96,32 @@ def test_read_divided_by_predicates(database):
     assert recorder.calls[0]["predicates"] == ["cid < 'M'", "cid >= 'M'"]
 
 
+def test_read_divided_by_a_key_of_text(database):
+    recorder, db = database([(3, "N"), (1, "A"), (4, "O'Neil"), (2, "c")])
+    db.read("customers", divide_by="cid")
+    cuts, read = recorder.calls
+    assert "NTILE(4) OVER (ORDER BY cid)" in cuts["query"] and "FROM customers" in cuts["query"]
+    assert read["predicates"] == [
+        "cid < 'c' OR cid IS NULL",
+        "cid >= 'c' AND cid < 'N'",
+        "cid >= 'N'",
+    ]
+
+
+def test_ranges_of_a_key_match_each_row_once(database, duck):
+    duck.execute("CREATE OR REPLACE TABLE k AS SELECT range % 37 AS v FROM range(500) UNION ALL SELECT NULL")
+    tiles = duck.execute(
+        "SELECT tile, MIN(v) FROM (SELECT v, NTILE(4) OVER (ORDER BY v) AS tile FROM k "
+        "WHERE v IS NOT NULL) GROUP BY tile"
+    ).fetchall()
+    for answer in (tiles, []):
+        _, db = database(list(answer))
+        predicates = db.key_ranges("k", "v")
+        counts = [duck.execute(f"SELECT count(*) FROM k WHERE {p}").fetchall()[0][0] for p in predicates]
+        assert sum(counts) == 501
+        assert max(counts) < 200 or not answer
+
+
 def test_replace(spark, database, monkeypatch):
     recorder, db = database()
     monkeypatch.setattr(jdbc, "Observation", lambda: type("O", (), {"get": {"rows": 7}}))
