@@ -44,7 +44,7 @@ from starweir.operators.quality import (
 )
 from starweir.plans.cleanse import cleansers
 from starweir.plans.run import CRM_TABLES, ERP_TABLES, Layers, run
-from starweir.plans.star import build_dim_customer, build_dim_product, build_star
+from starweir.plans.star import build_dim_customer, build_dim_product, build_fact_sales, build_star
 from starweir.plans.warehouse import FolderWarehouse, load_warehouse
 from starweir.sources import (
     import_delimited,
@@ -415,18 +415,28 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_dim_product(spark, sf_dir))
 
 
+def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star schema, the dimensions being built while the sales are cleansed."""
+    products, customers, (sales,) = at_once(
+        [
+            partial(_dim_product, spark, sf_dir),
+            partial(_dim_customer, spark, sf_dir),
+            partial(_cleansed, spark, sf_dir, "sales_details"),
+        ]
+    )
+    facts = build_fact_sales(sales, products, customers)
+    return {"dim_customer": customers, "dim_product": products, "fact_sales": facts}
+
+
 @_query
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_star(spark, sf_dir)["fact_sales"].withColumn("price", F.round("price", 4)))
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_star(dict(zip(SOURCE_TABLES, _cleansed(spark, sf_dir, *SOURCE_TABLES))))
-
-
 @_query
 def star_schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_counts(_star(spark, sf_dir))
+    cleansed = dict(zip(SOURCE_TABLES, _cleansed(spark, sf_dir, *SOURCE_TABLES)))
+    return row_counts(build_star(cleansed))
 
 
 # Sources and sinks.

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starweir.operators.skew import (
     MAX_KEY_ROWS,
@@ -23,7 +24,9 @@ _NEXT = "_next"
 
 
 def _rest(df: DataFrame, *used: str) -> list[str]:
-    return [c for c in df.columns if c not in used]
+    """The other columns, as far as they have an order."""
+    unordered = (T.MapType, T.VariantType)
+    return [f.name for f in df.schema if f.name not in used and not isinstance(f.dataType, unordered)]
 
 
 def latest_per_key(
