@@ -92,9 +92,10 @@ def _ranged_next(
     """
     start = order[0]
     position = F.struct(*[F.col(c) for c in [*order, _ORIGIN]])
+    cut_type = T.ArrayType(df.select(position.alias("p")).schema["p"].dataType)
     longest = pc.max(pc.list_value_length(cuts["_cuts"])).as_py() or 0
     tagged = (
-        with_hot(df, keys, cuts, "inner")
+        with_hot(df, keys, cuts, "inner", {"_cuts": cut_type})
         .withColumn("_range", position_in(F.col("_cuts"), position, longest))
         .drop("_cuts", _ORIGIN)
     )

@@ -9,12 +9,13 @@ never what the result is.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of one key that a single task may take.
 MAX_KEY_ROWS = 20_000_000
@@ -47,19 +48,26 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_KEY_ROWS) -
 
 
 def with_hot(
-    df: DataFrame, keys: Sequence[str | Column], hot: pa.Table, how: str = "left"
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    hot: pa.Table,
+    how: str = "left",
+    types: Mapping[str, T.DataType] | None = None,
 ) -> DataFrame:
     """Join the ``hot`` table, whose leading columns are the keys, and add its
-    remaining columns. It is as small as the answers of this module are."""
-    names = hot.column_names[: len(keys)]
-    renamed = hot.rename_columns([f"_hot_{n}" for n in names] + hot.column_names[len(keys) :])
-    same = [
-        (F.col(k) if isinstance(k, str) else k).eqNullSafe(F.col(f"_hot_{n}"))
-        for k, n in zip(keys, names)
-    ]
-    small = F.broadcast(df.sparkSession.createDataFrame(renamed))
-    joined = df.join(small, reduce(Column.__and__, same), how)
-    return joined.drop(*[f"_hot_{n}" for n in names])
+    remaining columns, integers unless ``types`` says otherwise. The table is as
+    small as the answers of this module are."""
+    count = len(keys)
+    kinds = [f.dataType for f in df.select(*keys).schema]
+    kinds += [(types or {}).get(name, T.IntegerType()) for name in hot.column_names[count:]]
+    names = [f"_hot_{i}" for i in range(count)] + hot.column_names[count:]
+    # Arrow alone would not tell timestamps with and without time zone apart.
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
+    small = df.sparkSession.createDataFrame(hot.rename_columns(names), schema)
+    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    same = [column.eqNullSafe(F.col(name)) for column, name in zip(columns, names)]
+    joined = df.join(F.broadcast(small), reduce(Column.__and__, same), how)
+    return joined.drop(*names[:count])
 
 
 def hot_key_cuts(

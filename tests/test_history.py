@@ -82,6 +82,27 @@ def test_validity_ranges_of_hot_keys_match_brute_force(spark, max_key_rows):
     assert rows(out) == python_ends(given)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_keys_and_orders_of_any_type(spark, zone):
+    df = spark.range(0, 600, 1, 4).selectExpr(
+        "CAST(id % 2 AS DECIMAL(20, 3)) AS k1",
+        "CAST(TIMESTAMP_NTZ'2024-03-10 02:30:00' + MAKE_INTERVAL(0, 0, 0, CAST(id % 3 AS INT)) AS TIMESTAMP_NTZ) AS k2",
+        "CAST(TIMESTAMP_NTZ'2024-03-09 00:30:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id % 90 AS INT)) AS TIMESTAMP_NTZ) AS s",
+        "CAST(TIMESTAMP_NTZ'2024-03-09 00:30:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id AS INT)) AS TIMESTAMP) AS t",
+        "id",
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        plain = validity_ranges(df, ["k1", "k2"], "s", "e")
+        hot = validity_ranges(df, ["k1", "k2"], "s", "e", max_key_rows=17)
+        assert "_range" in plan(hot)
+        assert hot.exceptAll(plain).count() == plain.exceptAll(hot).count() == 0
+        assert hot.count() == 600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_hot_keys_are_divided_over_tasks(spark):
     df = spark.range(0, 4000, 1, 8).selectExpr("'hot' AS k", "date_add(DATE'2000-01-01', cast(id AS int)) AS d", "id")
     out = validity_ranges(df, ["k"], "d", "e", max_key_rows=250)
