@@ -254,7 +254,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN (SELECT CASE WHEN r_name = 'ASIA' THEN 99 ELSE r_regionkey END AS r_regionkey,
                               r_name FROM region) AS r ON n_regionkey = r_regionkey""",
         "lookup_fan_out": """
-            SELECT o_orderkey, o_custkey, l_partkey, l_linenumber
+            SELECT o_orderkey, o_custkey, l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
             FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
         "lookup_hot_key": """
             SELECT o_orderkey, o.o_custkey, o_orderstatus, c_name
@@ -294,7 +294,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) > {_AS_OF} THEN NULL
                                ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS order_day
             FROM orders""",
-        "null_default": "SELECT p_partkey, coalesce(nullif(p_size, 1), 0) AS size FROM part",
+        "null_default": """
+            SELECT p_partkey, CAST(coalesce(nullif(p_size, 1), 0) AS BIGINT) AS size FROM part""",
         "coalesce_fallback": """
             SELECT c_custkey,
                    CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Auto' WHEN 'BUILDING' THEN 'Build'
