@@ -1,6 +1,7 @@
 """The steps of a run as Spark jobs.
 
-    spark-submit ... -m starweir STEP --root hdfs://.../warehouse [options]
+    spark-submit --py-files starweir.zip starweir/__main__.py STEP --root FOLDER [options]
+    python -m starweir STEP --root FOLDER [options]
 
 ``STEP`` is ingest, cleanse, model, load or all. Databases are given as
 ``url=jdbc:... driver=... user=... password=...``.

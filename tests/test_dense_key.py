@@ -21,7 +21,8 @@ def test_same_as_one_window_over_everything(spark, name):
     rng = random.Random(1)
     given = [(rng.choice([None, 1, 2, 3]), rng.choice([None, "x", "y"]), i) for i in range(2000)]
     df = spark.createDataFrame(given, "a int, b string, i int").repartition(7)
-    expected = df.select(F.row_number().over(Window.orderBy(*order, "a", "b", "i")).cast("bigint").alias("key"), "*")
+    number = F.row_number().over(Window.orderBy(*order, "a", "b", "i"))
+    expected = df.select(number.cast("bigint").alias("key"), "*")
     assert rows(dense_key(df, order, "key")) == rows(expected)
 
 

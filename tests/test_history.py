@@ -86,9 +86,9 @@ def test_validity_ranges_of_hot_keys_match_brute_force(spark, max_key_rows):
 def test_keys_and_orders_of_any_type(spark, zone):
     df = spark.range(0, 600, 1, 4).selectExpr(
         "CAST(id % 2 AS DECIMAL(20, 3)) AS k1",
-        "CAST(TIMESTAMP_NTZ'2024-03-10 02:30:00' + MAKE_INTERVAL(0, 0, 0, CAST(id % 3 AS INT)) AS TIMESTAMP_NTZ) AS k2",
-        "CAST(TIMESTAMP_NTZ'2024-03-09 00:30:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id % 90 AS INT)) AS TIMESTAMP_NTZ) AS s",
-        "CAST(TIMESTAMP_NTZ'2024-03-09 00:30:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id AS INT)) AS TIMESTAMP) AS t",
+        "TIMESTAMP_NTZ'2024-03-10 02:30:00' + MAKE_INTERVAL(0, 0, 0, CAST(id % 3 AS INT)) AS k2",
+        "TIMESTAMP_NTZ'2024-03-09 00:30:00' + MAKE_INTERVAL(0, 0, 0, 0, CAST(id % 90 AS INT)) AS s",
+        "CAST(TIMESTAMP_NTZ'2024-03-09 00:30:00' AS TIMESTAMP) + MAKE_DT_INTERVAL(0, id) AS t",
         "id",
     )
     before = spark.conf.get("spark.sql.session.timeZone")
@@ -104,7 +104,9 @@ def test_keys_and_orders_of_any_type(spark, zone):
 
 
 def test_hot_keys_are_divided_over_tasks(spark):
-    df = spark.range(0, 4000, 1, 8).selectExpr("'hot' AS k", "date_add(DATE'2000-01-01', cast(id AS int)) AS d", "id")
+    df = spark.range(0, 4000, 1, 8).selectExpr(
+        "'hot' AS k", "date_add(DATE'2000-01-01', cast(id AS int)) AS d", "id"
+    )
     out = validity_ranges(df, ["k"], "d", "e", max_key_rows=250)
     physical = plan(out).split("Physical Plan")[1]
     assert "hashpartitioning(k" in physical and "_range" in physical

@@ -70,7 +70,8 @@ def test_csv_blanks_are_lost_unless_kept(spark, tmp_path):
 
 
 def test_conform(spark):
-    df = spark.createDataFrame([("7", "x", "2025-02-30"), ("z", "y", "2025-02-03")], "B string, a string, c string")
+    given = [("7", "x", "2025-02-30"), ("z", "y", "2025-02-03")]
+    df = spark.createDataFrame(given, "B string, a string, c string")
     out = conform(df, schemas.T.StructType.fromDDL("a STRING, b INT, c DATE"))
     assert [(r.a, r.b, str(r.c)) for r in out.orderBy("a").collect()] == [
         ("x", 7, "None"),
