@@ -3,8 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from starweir.catalog import oracle, queries
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = queries.queries(), oracle.oracle_sql()
 
 
 def test_every_query_has_sql():
