@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import packing, quality, secrets, sharding, token_files
+from starweir.llm import near, packing, quality, secrets, sharding, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
@@ -51,6 +51,10 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark.read.parquet(path))
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_components(_documents(spark, sf_dir))
+
+
 def _spans_text(spans: Column) -> Column:
     one = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
     return F.concat_ws(",", one)
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_feistel_shards": _op1,
         "op2_rans_token_files": _op2,
+        "op6_signature_near_copies": _op6,
         "op7_entropy_secrets": _op7,
         "op8_certified_packing": _op8,
         "op9_ngram_ratio_quality": _op9,
