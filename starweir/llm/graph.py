@@ -22,7 +22,7 @@ def components(links: DataFrame) -> DataFrame:
         "links",
     )
     if edges.isEmpty():
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return _named(edges)
     while True:
         # Large star: neighbours above a node go to the least of it and its neighbours.
         ways = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -53,10 +53,17 @@ def components(links: DataFrame) -> DataFrame:
         )
         small = stage(small, "small-star")
         if not _differ(edges, small):
-            return small.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return _named(small)
         edges = small
 
 
+def _named(stars: DataFrame) -> DataFrame:
+    least = F.col("b").alias("component")
+    return stars.select(F.col("a").alias("node"), least).unionAll(
+        stars.select(F.col("b").alias("node"), least).distinct()
+    )
+
+
 def _differ(one: DataFrame, other: DataFrame) -> bool:
     def digest(df: DataFrame):
         hashed = F.xxhash64("a", "b").cast("decimal(38,0)")
