@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import near, packing, quality, secrets, sharding, token_files
+from starweir.llm import near, packing, quality, secrets, sharding, substrings, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
@@ -51,6 +51,12 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark.read.parquet(path))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated_passages(_documents(spark, sf_dir), length=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_components(_documents(spark, sf_dir))
 
@@ -90,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_feistel_shards": _op1,
         "op2_rans_token_files": _op2,
+        "op4_repeated_passages": _op4,
         "op6_signature_near_copies": _op6,
         "op7_entropy_secrets": _op7,
         "op8_certified_packing": _op8,

@@ -99,15 +99,19 @@ def _power(base: np.uint64, n: int) -> np.uint64:
 
 
 def window_minima(items: np.ndarray, length: int) -> np.ndarray:
-    """The least of every ``length`` consecutive items."""
+    """Where the least of every ``length`` consecutive items is, the first one if several."""
     if length > len(items):
-        return items[:0]
-    size, part = 1, items
+        return np.zeros(0, np.int64)
+
+    def lesser(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.where(items[right] < items[left], right, left)
+
+    size, part = 1, np.arange(len(items))
     while 2 * size <= length:
-        part = np.minimum(part[:-size], part[size:])
+        part = lesser(part[:-size], part[size:])
         size *= 2
     n = len(items) - length + 1
-    return np.minimum(part[:n], part[length - size : length - size + n])
+    return lesser(part[:n], part[length - size : length - size + n])
 
 
 @dataclass
