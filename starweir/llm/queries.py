@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import near, packing, quality, secrets, sharding, substrings, token_files
+from starweir.llm import contamination, near, packing, quality, secrets, sharding, substrings, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
@@ -92,6 +92,13 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find_contaminated(
+        _documents(spark, sf_dir), _table(spark, sf_dir, "benchmark").select("item_id", "text")
+    )
+    return found.drop("tie")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_feistel_shards": _op1,
@@ -101,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_entropy_secrets": _op7,
         "op8_certified_packing": _op8,
         "op9_ngram_ratio_quality": _op9,
+        "op10_template_decontamination": _op10,
     }
 
 
