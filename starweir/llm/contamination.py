@@ -145,7 +145,9 @@ def find_contaminated(
     hits = (
         texts.select("doc_id", "tie", template_words(F.col("text")).alias("words"))
         .withColumn("hashes", window_hashes(F.col("words"), rules.words))
-        .select("doc_id", "tie", F.posexplode("hashes").alias("at", "hash"))
+        # The outer form lets Spark infer no filter on the hashes, which would be pushed
+        # below them and make the words anew for every window.
+        .select("doc_id", "tie", F.posexplode_outer("hashes").alias("at", "hash"))
         .join(placed(probes), "hash")
         .select("doc_id", "tie", "item_id", "item_tie", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
