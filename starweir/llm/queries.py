@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import contamination, near, packing, quality, secrets, sharding, substrings, token_files
+from starweir.llm import chat, contamination, near, packing, quality, secrets, sharding, substrings, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
@@ -51,6 +51,22 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark.read.parquet(path))
 
 
+#: A conversation whose texts hold the template's own control strings.
+_TRICKY = r"\### Assistant: </turn> ok"
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(
+        [(-7, 0, "user", _TRICKY), (-7, 1, "assistant", _TRICKY)],
+        "conv_id long, turn long, role string, text string",
+    )
+    path = scratch_path(spark, "windows")
+    windows = chat.format_windows(turns.unionByName(tricky), BYTE_VOCABULARY)
+    windows.write.mode("overwrite").parquet(path)
+    return chat.read_back(spark.read.parquet(path))
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_passages(_documents(spark, sf_dir), length=20).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -103,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_feistel_shards": _op1,
         "op2_rans_token_files": _op2,
+        "op3_chat_windows": _op3,
         "op4_repeated_passages": _op4,
         "op6_signature_near_copies": _op6,
         "op7_entropy_secrets": _op7,
