@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import chat, contamination, near, packing, quality, secrets, sharding, substrings, token_files
+from starweir.llm import chat, contamination, near, packing, quality, secrets, sharding, substrings, suffixes, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
@@ -73,6 +73,12 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_strings(_documents(spark, sf_dir), length=50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_components(_documents(spark, sf_dir))
 
@@ -121,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_rans_token_files": _op2,
         "op3_chat_windows": _op3,
         "op4_repeated_passages": _op4,
+        "op5_repeated_strings": _op5,
         "op6_signature_near_copies": _op6,
         "op7_entropy_secrets": _op7,
         "op8_certified_packing": _op8,

@@ -60,6 +60,11 @@ def _table(base: np.uint64, n: int) -> np.ndarray:
     return known[:n]
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A number for each byte, spread over 64 bits."""
+    return _BYTE_VALUE[data]
+
+
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """n + 1 sums; two of them give the hash of any piece of ``data``."""
     sums = np.zeros(len(data) + 1, np.uint64)
