@@ -232,9 +232,9 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, rules: TemplateRules = TemplateRules()
 ) -> DataFrame:
     """``docs`` without the documents that hold an item; NULL texts stay."""
-    bad = find_contaminated(docs, benchmark, rules).select(
-        F.col("doc_id").alias("_bad_id"), F.col("tie").alias("_bad_tie")
+    bad = find_contaminated(docs, benchmark, rules).select("doc_id", "tie").distinct()
+    bad = stage(bad, "contaminated")
+    same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (
+        F.xxhash64(F.col("d.text")) == F.col("b.tie")
     )
-    bad = stage(bad.distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_tie"))
-    return docs.join(bad, same, "left_anti")
+    return docs.alias("d").join(bad.alias("b"), same, "left_anti")

@@ -94,7 +94,7 @@ def signatures(shingles: np.ndarray, starts: np.ndarray, coordinates: int) -> np
 
 
 def _signed(rules: NearRules):
-    """(doc_id, set hashes, n_shingles, signature) of each text."""
+    """(doc_id, tie, set hashes, n_shingles, signature) of each text."""
 
     def sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):
@@ -115,13 +115,13 @@ def _signed(rules: NearRules):
                         signed[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(at, end - at),
+                        *(batch.column(c).slice(at, end - at) for c in ("doc_id", "tie")),
                         pa.array(hashes[0].view(np.int64)),
                         pa.array(hashes[1].view(np.int64)),
                         pa.array(n),
                         pa.array(signed, pa.binary()),
                     ],
-                    ["doc_id", "h1", "h2", "n_shingles", "signature"],
+                    ["doc_id", "tie", "h1", "h2", "n_shingles", "signature"],
                 )
 
     return sign
@@ -353,11 +353,12 @@ def _linked(rows: DataFrame, key: str, links_of) -> DataFrame:
 
 
 def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every text.
+    """(doc_id, tie, n_shingles, component_id, kept) of every text.
 
     Texts are lower-cased in A-Z; a set is its distinct shingles of ``words`` words, or the
     one sequence of a shorter text. Texts are linked by the similarity of their sets, and a
-    component's id is the least doc_id in it. ``kept`` is true for that document.
+    component's id is the least doc_id in it. ``kept`` is true for that document. ``tie`` is
+    a hash that tells texts of one doc_id apart; of those in one component the least is kept.
 
     1. Each distinct set, not each document, is signed, and posted in the list of each of
        the first coordinates' values (a prefix: who agrees in enough coordinates shares
@@ -372,11 +373,11 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
     no links. A row with a NULL doc_id is not linked, its component is NULL, and it is kept.
     Rows with equal doc_ids and texts are one document here; each is returned.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     signed = stage(
         docs.mapInArrow(
             _signed(rules),
-            "doc_id long, h1 long, h2 long, n_shingles long, signature binary",
+            "doc_id long, tie long, h1 long, h2 long, n_shingles long, signature binary",
         ),
         "signed",
     )
@@ -385,10 +386,11 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
     sets = stage(
         chosen.groupBy("h1", "h2")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "tie")).alias("least"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
         )
+        .select("h1", "h2", "least.*", "n_shingles", "signature")
         .withColumn("node", F.monotonically_increasing_id()),
         "sets",
     )
@@ -403,26 +405,47 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
         "class",
         F.col("n_shingles"),
         rules.class_shingles,
-    ).select("doc_id", "h1", "h2", "class", "part", "pair", "side", "node")
-    whole = docs.join(stage(members, "members"), "doc_id").mapInArrow(
+    ).select("doc_id", "tie", "h1", "h2", "class", "part", "pair", "side", "node")
+    whole = docs.join(stage(members, "members"), ["doc_id", "tie"]).mapInArrow(
         _set_rows(rules),
         """class long, part int, pair boolean, side int, node long, n_shingles long,
         shingles binary""",
     )
     links = stage(_linked(whole, "class", _confirmed(rules)), "near-links")
     roots = (
-        sets.select("h1", "h2", "node", "doc_id")
+        sets.select("h1", "h2", "node", "doc_id", "tie")
         .join(components(links), "node", "left")
         .withColumn("root", F.coalesce("component", "node"))
     )
-    least = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = roots.join(least, "root").select("h1", "h2", "component_id")
+    least = roots.groupBy("root").agg(F.min(F.struct("doc_id", "tie")).alias("least"))
+    named = roots.join(least, "root").select("h1", "h2", "least")
     found = signed.drop("signature").join(named, ["h1", "h2"], "left")
     linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    component = F.when(linked, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(
         "doc_id",
+        "tie",
         "n_shingles",
-        component.alias("component_id"),
-        component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        F.when(linked, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(linked, F.struct("doc_id", "tie") == F.col("least"))
+        .otherwise(F.lit(True))
+        .alias("kept"),
     )
+
+
+def drop_near_copies(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
+    """``docs`` with one document of each component; see :func:`near_components`.
+
+    Of rows with equal doc_id and text one stays, whatever their other columns say. Rows
+    without a doc_id or without words all stay.
+    """
+    found = stage(near_components(docs, rules), "components")
+    kept = found.where("kept").select("doc_id", "tie").distinct()
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (
+        F.xxhash64(F.col("d.text")) == F.col("k.tie")
+    )
+    out = docs.alias("d").join(kept.alias("k"), same, "left_semi")
+    copies = found.where("kept AND doc_id IS NOT NULL AND n_shingles > 0")
+    if copies.groupBy("doc_id", "tie").count().where("count > 1").isEmpty():
+        return out
+    alone = F.col("doc_id").isNull() | (F.trim(F.coalesce("text", F.lit(""))) == "")
+    return out.where(alone).unionAll(out.where(~alone).dropDuplicates(["doc_id", "text"]))

@@ -251,3 +251,9 @@ def judge_quality(docs: DataFrame, labels: DataFrame, rules: QualityRules = Qual
     ratios = fit_ratios(docs, labels, rules)
     judge = quality_column(ratios, rules, docs.sparkSession)
     return docs.withColumn("quality", judge("text"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()):
+    """The rows of ``docs`` whose text is kept; see :func:`judge_quality`."""
+    ratios = fit_ratios(docs, labels, rules)
+    return docs.where(quality_column(ratios, rules, docs.sparkSession)("text")["kept"])

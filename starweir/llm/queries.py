@@ -80,7 +80,8 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_components(_documents(spark, sf_dir))
+    found = near.near_components(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def _spans_text(spans: Column) -> Column:

@@ -177,7 +177,8 @@ def redact_secrets(
 ) -> DataFrame:
     """``df`` with every secret in ``text`` replaced by ``mark``; no row goes.
 
-    NULL stays NULL, other columns stay as they are.
+    NULL stays NULL. A column ``n_chars`` follows a text that changes; other columns stay
+    as they are.
     """
 
     @F.pandas_udf("string")
@@ -191,4 +192,14 @@ def redact_secrets(
             dtype=object,
         )
 
-    return df.withColumn(text, redacted(F.col(text)))
+    new = redacted(F.col(text))
+    if "n_chars" not in df.columns:
+        return df.withColumn(text, new)
+    # Held aside, so that no column can clash.
+    old, now = F.col("held")[text], F.col("redacted")
+    length = F.length(now).cast(df.schema["n_chars"].dataType)
+    following = F.when(now != old, length).otherwise(F.col("held")["n_chars"])
+    put = {text: now, "n_chars": following}
+    return df.select(F.struct("*").alias("held"), new.alias("redacted")).select(
+        *(put.get(c, F.col("held")[c]).alias(c) for c in df.columns)
+    )

@@ -50,18 +50,21 @@ def shuffle_shards(
     can compute its place. Columns of these names are replaced. NULLs in the order come
     first. An empty table stays empty.
     """
-    rest = df.drop("shard", "slot", "_row")
-    numbered = dense_key(rest, order, "_row")
-    # Counts the written rows from the file footers, without reading them.
+    names = [c for c in df.columns if c not in ("shard", "slot")]
+    # Other columns are held aside, so that none can clash.
+    keys = [o if isinstance(o, Column) else F.col(o) for o in order]
+    held = df.select(
+        *(key.alias(f"k{i}") for i, key in enumerate(keys)), F.struct(*names).alias("held")
+    )
+    numbered = dense_key(held, [f"k{i}" for i in range(len(keys))], "number")
     n = numbered.count()
 
     @F.pandas_udf("long")
-    def place(row: pd.Series) -> pd.Series:
-        return pd.Series(permute(row.to_numpy() - 1, n, seed))
+    def place(number: pd.Series) -> pd.Series:
+        return pd.Series(permute(number.to_numpy() - 1, n, seed))
 
-    at = F.col("_place")
-    return numbered.withColumn("_place", place("_row")).select(
-        *rest.columns,
-        (at % shards).cast("int").alias("shard"),
-        F.expr(f"_place div {int(shards)}").alias("slot"),
+    return numbered.select("held", place("number").alias("at")).select(
+        "held.*",
+        F.expr(f"CAST(at % {int(shards)} AS INT)").alias("shard"),
+        F.expr(f"at div {int(shards)}").alias("slot"),
     )
