@@ -80,7 +80,9 @@ def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey", "left"
     )
     lines = lines.selectExpr(
-        "*", "CAST(l_quantity AS INT) AS q", "CAST(floor(l_extendedprice / 100) AS INT) AS unit"
+        "*",
+        "CAST(l_quantity AS BIGINT) AS q",
+        "floor(l_extendedprice / 100) + IF(l_linenumber = 4, 0.5D, 0D) AS unit",
     )
     return conform(
         lines.selectExpr(

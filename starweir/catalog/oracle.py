@@ -56,7 +56,7 @@ _CTES = {
                substr(p_type, 1, 2) || '-' || upper(substr(p_name, 1, 2)) || '-P'
                    || lpad(CAST(p_partkey // 3 AS VARCHAR), 12, '0') AS prd_key,
                p_name AS prd_nm,
-               CASE WHEN p_size <> 7 THEN CAST(floor(p_retailprice) AS BIGINT) END AS prd_cost,
+               CASE WHEN p_size <> 7 THEN CAST(floor(p_retailprice) AS DOUBLE) END AS prd_cost,
                CASE p_type WHEN 'ECONOMY' THEN 'R ' WHEN 'LARGE' THEN 'M ' WHEN 'MEDIUM' THEN 's'
                     WHEN 'PROMO' THEN ' t' WHEN 'STANDARD' THEN 'x' END AS prd_line,
                DATE '2003-07-01' + p_size AS prd_start_dt
@@ -76,14 +76,16 @@ _CTES = {
                     ELSE {_yyyymmdd('o_orderdate')} END AS sls_order_dt,
                {_yyyymmdd('l_shipdate')} AS sls_ship_dt,
                {_yyyymmdd("l_shipdate + INTERVAL 7 DAY")} AS sls_due_dt,
-               CASE l_returnflag || l_linestatus WHEN 'AF' THEN NULL WHEN 'RF' THEN -q * unit
-                    WHEN 'NO' THEN 999 ELSE q * unit END AS sls_sales,
+               CAST(CASE l_returnflag || l_linestatus WHEN 'AF' THEN NULL WHEN 'RF' THEN -q * unit
+                    WHEN 'NO' THEN 999 ELSE q * unit END AS DOUBLE) AS sls_sales,
                CASE WHEN l_linenumber = 5 AND l_linestatus = 'O' THEN 0 ELSE q END AS sls_quantity,
-               CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN 0
+               CAST(CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN 0
                     WHEN l_linenumber = 3 AND l_returnflag = 'N' THEN -unit
-                    ELSE unit END AS sls_price
+                    ELSE unit END AS DOUBLE) AS sls_price
         FROM (SELECT *, CAST(l_quantity AS BIGINT) AS q,
-                     CAST(floor(l_extendedprice / 100) AS BIGINT) AS unit FROM lineitem) AS l
+                     CAST(floor(l_extendedprice / 100) AS DOUBLE)
+                         + CAST(CASE WHEN l_linenumber = 4 THEN 0.5 ELSE 0 END AS DOUBLE) AS unit
+              FROM lineitem) AS l
         LEFT JOIN orders ON o_orderkey = l_orderkey""",
     "cl_cust_info": """
         SELECT cst_id, cst_key, trim(cst_firstname) AS cst_firstname,
@@ -196,7 +198,54 @@ _SPOILED_DAY = f"""
     FROM orders"""
 _ORDERS_TEXT = """
     SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
-           AS o_orderdate, o_orderpriority FROM orders"""
+           AS o_orderdate, o_orderpriority, round(o_totalprice, 2) AS o_totalprice FROM orders"""
+
+# What is spoilt in the text versions of the sources, and counted as rejected.
+_REJECTS = [
+    ("cust_info", "cst_id", "cst_id % 10 = 3"),
+    ("prd_info", "prd_cost", "prd_id % 7 = 0"),
+    ("sales_details", "sls_cust_id", "sls_quantity = 7"),
+    ("sales_details", "sls_price", "sls_quantity = 4"),
+]
+_ERP_PROMISES = [
+    ("product_categories", ["id"], ["cat", "subcat"], [("id", 10), ("cat", 50), ("subcat", 50), ("maintenance", 5)]),
+    ("customer_locations", ["cid"], ["cntry"], [("cid", 20), ("cntry", 50)]),
+    ("customers", ["cid"], [], [("cid", 20), ("bdate", 50), ("gen", 10)]),
+]
+_STAR_COLUMNS = {
+    "dim_customer": "customer_key customer_id customer_number first_name last_name country "
+    "marital_status gender birthdate create_date",
+    "dim_product": "product_key product_id product_number product_name category_id category "
+    "subcategory maintenance cost product_line start_date",
+    "fact_sales": "order_number product_key customer_key order_date shipping_date due_date "
+    "sales_amount quantity price",
+}
+
+
+def _check(layer: str, table: str, check: str, column: str, count: str) -> str:
+    return (
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{check}' AS check_name, "
+        f"'{column}' AS column_name, CAST(({count}) AS BIGINT) AS violations"
+    )
+
+
+def _run_checks() -> str:
+    found = []
+    for table, key, filled, lengths in _ERP_PROMISES:
+        columns = ", ".join(key)
+        twice = f"SELECT 1 FROM {table} WHERE {key[0]} IS NOT NULL GROUP BY {columns} HAVING count(*) > 1"
+        found.append(_check("raw", table, "unique", ",".join(key), f"SELECT count(*) FROM ({twice}) d"))
+        for c in [*key, *filled]:
+            found.append(_check("raw", table, "not_null", c, f"SELECT count(*) FROM {table} WHERE {c} IS NULL"))
+        for c, n in lengths:
+            found.append(_check("raw", table, "length", c, f"SELECT count(*) FROM {table} WHERE length({c}) > {n}"))
+    for table, key in (("dim_customer", "customer_key"), ("dim_product", "product_key")):
+        twice = f"SELECT 1 FROM {table} GROUP BY {key} HAVING count(*) > 1"
+        found.append(_check("star", table, "unique", key, f"SELECT count(*) FROM ({twice}) d"))
+        found.append(_check("star", table, "not_null", key, f"SELECT count(*) FROM {table} WHERE {key} IS NULL"))
+    for table, columns in _STAR_COLUMNS.items():
+        found += [_check("star", table, "schema", c, "SELECT 0") for c in columns.split()]
+    return _with(" UNION ALL ".join(found))
 
 
 def oracle_sql() -> dict[str, str]:
@@ -228,10 +277,10 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'schema', 'l_quantity', 1
             UNION ALL SELECT 'schema', 'l_absent', 1""",
         "readiness_check": " UNION ALL ".join(
-            f"SELECT '{t}' AS name, count(*) >= 0 AS present, count(*) >= 0 AS has_bytes FROM {t}"
+            f"SELECT '{t}' AS name, count(*) > 0 AS present, count(*) AS rows FROM {t}"
             for t in _TABLES
         )
-        + " UNION ALL SELECT 'absent', FALSE, FALSE",
+        + " UNION ALL SELECT 'absent', FALSE, NULL",
         "latest_per_key": """
             SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority
@@ -342,12 +391,36 @@ def oracle_sql() -> dict[str, str]:
         "csv_inferred": _ORDERS_TEXT,
         "csv_all_string": """
             SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
-                   CAST(p_size AS VARCHAR) AS p_size FROM part""",
+                   CAST(p_size AS VARCHAR) AS p_size,
+                   CAST(CAST(p_retailprice AS DECIMAL(18, 4)) AS VARCHAR) AS p_retailprice
+            FROM part""",
         "csv_declared_schema": """
-            SELECT p_partkey AS part_id, p_brand || ' ' || p_type AS label, p_name AS name
+            SELECT p_partkey AS part_id, p_brand || ' ' || p_type AS label, p_name AS name,
+                   round(p_retailprice, 2) AS price
             FROM part""",
-        "csv_land_raw": _count_all(["nation", "part", "customer"], ", 'loaded' AS status"),
+        "csv_land_raw": _count_all(
+            _TABLES[:8] + ["labels"], ", 'loaded' AS status, CAST(0 AS BIGINT) AS malformed"
+        ),
         "ingest_all": _count_all(_TABLES, ", 'loaded' AS status"),
+        "ingest_summary": f"""
+            SELECT count(*) AS succeeded, count(*) AS total,
+                   CAST(sum(row_count) AS BIGINT) AS row_count
+            FROM ({_count_all(_TABLES)}) AS counted""",
+        "reject_counts": _with(
+            " UNION ALL ".join(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rejects "
+                f"FROM {t} WHERE {rule} AND {c} IS NOT NULL HAVING count(*) > 0"
+                for t, c, rule in _REJECTS
+            )
+        ),
+        "run_checks": _run_checks(),
+        "whole_run_contents": _with(
+            """SELECT order_number, product_number, product_name, category, cost, customer_number,
+                      country, gender, birthdate, order_date, sales_amount, quantity, price
+               FROM fact_sales AS f
+               LEFT JOIN dim_product AS p ON f.product_key = p.product_key
+               LEFT JOIN dim_customer AS c ON f.customer_key = c.customer_key"""
+        ),
         "warehouse_load": _with(_FACT),
         "whole_run": _with(
             _count_all(

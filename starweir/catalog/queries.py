@@ -40,14 +40,16 @@ from starweir.operators.quality import (
     constraint_report,
     date_rejects,
     readiness,
+    reject_report,
     row_counts,
 )
 from starweir.plans.cleanse import cleansers
-from starweir.plans.run import CRM_TABLES, ERP_TABLES, Layers, run
+from starweir.plans.run import CRM_TABLES, ERP_TABLES, Layers, RunResult, cleanse, run_checked
 from starweir.plans.star import build_dim_customer, build_dim_product, build_fact_sales, build_star
 from starweir.plans.warehouse import FolderWarehouse, load_warehouse
 from starweir.sources import (
     import_delimited,
+    ingest_summary,
     ingest_tables,
     land_csv_folder,
     read_csv,
@@ -143,7 +145,7 @@ def constraint_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def readiness_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = {name: f"{sf_dir}/{name}.parquet" for name in [*TABLES, "absent"]}
-    return readiness(spark, paths).select("name", "present", (F.col("bytes") > 0).alias("has_bytes"))
+    return readiness(spark, paths, spark.read.parquet).select("name", "present", "rows")
 
 
 # Versions, keys, lookups.
@@ -444,41 +446,50 @@ def star_schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _orders(spark, sf_dir).drop("o_totalprice")
+    orders = _orders(spark, sf_dir)
     path = scratch_path(spark, "csv")
     write_table(orders, path, "csv")
-    return _plain(read_table(spark, path, orders.schema, "csv"))
+    again = read_table(spark, path, orders.schema, "csv")
+    return _plain(again.withColumn("o_totalprice", F.round("o_totalprice", 2)))
 
 
 @_query
 def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    write_table(_orders(spark, sf_dir).drop("o_totalprice"), path, "csv")
+    write_table(_orders(spark, sf_dir), path, "csv")
     inferred = read_csv(spark, path, infer=True)
     types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderdate": "date"}
-    return _plain(inferred.withColumns({c: F.col(c).cast(t) for c, t in types.items()}))
+    typed = inferred.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+    return _plain(typed.withColumn("o_totalprice", F.round("o_totalprice", 2)))
 
 
 @_query
 def csv_all_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    write_table(table(spark, sf_dir, "part").drop("p_retailprice"), path, "csv")
-    return read_csv(spark, path)
+    write_table(table(spark, sf_dir, "part"), path, "csv")
+    price = F.col("p_retailprice").cast("decimal(18,4)").cast("string")
+    return read_csv(spark, path).withColumn("p_retailprice", price)
 
 
 @_query
 def csv_declared_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    write_table(table(spark, sf_dir, "part").drop("p_retailprice"), path, "csv")
-    names = ["id", "name", "brand", "type", "size"]
-    assigned = {"part_id": "CAST(id AS BIGINT)", "label": "brand || ' ' || type", "name": "name"}
+    write_table(table(spark, sf_dir, "part"), path, "csv")
+    names = ["id", "name", "brand", "type", "size", "price"]
+    assigned = {
+        "part_id": "CAST(id AS BIGINT)",
+        "label": "brand || ' ' || type",
+        "name": "name",
+        "price": "round(CAST(price AS DOUBLE), 2)",
+    }
     return import_delimited(spark, path, names, assigned)
 
 
 @_query
 def csv_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "land")
-    for name in ("nation", "part", "customer"):
+    # The other tables hold arrays, or texts with line breaks.
+    for name in (*TABLES[:8], "labels"):
         write_table(table(spark, sf_dir, name), f"{root}/source/{name}.csv", "csv")
     return land_csv_folder(spark, f"{root}/source", f"{root}/raw").drop("message")
 
@@ -490,6 +501,38 @@ def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.drop("message")
 
 
+@_query
+def ingest_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest_summary(ingest_all(spark, sf_dir))
+
+
+@_query
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text versions of the sources with ids and amounts that are no numbers, and with
+    fractions and numbers beyond 2^31, which are."""
+    spoilt = {
+        "cust_info": {"cst_id": "CASE WHEN CAST(cst_id AS BIGINT) % 10 = 3 THEN 'A' || cst_id ELSE cst_id END"},
+        "prd_info": {"prd_cost": "CASE WHEN CAST(prd_id AS BIGINT) % 7 = 0 THEN 'free' || prd_cost ELSE prd_cost END"},
+        "sales_details": {
+            "sls_cust_id": "CASE WHEN sls_quantity = '7' THEN '?' || sls_cust_id ELSE sls_cust_id END",
+            "sls_price": "CASE WHEN sls_quantity = '4' THEN 'x' || sls_price "
+            "WHEN sls_quantity = '5' THEN '10.5' ELSE sls_price END",
+            "sls_sales": "CASE WHEN sls_quantity = '6' THEN '3000000000' ELSE sls_sales END",
+        },
+    }
+    layers = Layers(spark, scratch_path(spark, "rejects"))
+
+    def export(name: str) -> None:
+        source = SOURCE_TABLES[name](spark, sf_dir)
+        rules = spoilt.get(name, {})
+        texts = source.selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in source.columns])
+        spoils = [f"{rules.get(c, c)} AS {c}" for c in source.columns]
+        layers.write("raw", name, texts.selectExpr(*spoils))
+
+    at_once([partial(export, name) for name in SOURCE_TABLES])
+    return reject_report(cleanse(layers, F.lit(CLEANSE_AS_OF)).rejects, spark)
+
+
 @_query
 def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = FolderWarehouse(spark, scratch_path(spark, "warehouse"))
@@ -498,8 +541,7 @@ def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(facts.withColumn("price", F.round("price", 4)))
 
 
-@_query
-def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _whole_run(spark: SparkSession, sf_dir: str) -> tuple[RunResult, FolderWarehouse]:
     root = scratch_path(spark, "run")
 
     def export(name: str) -> None:
@@ -507,11 +549,39 @@ def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_table(source, f"{root}/crm/{name}.csv", "csv", **KEEP_BLANKS)
 
     at_once([partial(export, name) for name in CRM_TABLES])
-    return run(
+    warehouse = FolderWarehouse(spark, f"{root}/warehouse")
+    result = run_checked(
         Layers(spark, root),
         f"{root}/crm",
         ERP_TABLES,
         lambda name: SOURCE_TABLES[name](spark, sf_dir),
-        FolderWarehouse(spark, f"{root}/warehouse"),
+        warehouse,
         F.lit(CLEANSE_AS_OF),
     )
+    return result, warehouse
+
+
+@_query
+def whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_run(spark, sf_dir)[0].counts
+
+
+@_query
+def run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_run(spark, sf_dir)[0].checks
+
+
+@_query
+def whole_run_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded fact with what the loaded dimensions say about it."""
+    warehouse = _whole_run(spark, sf_dir)[1]
+    facts = warehouse.read("fact_sales").withColumn("price", F.round("price", 4))
+    products = {c: c for c in ("product_number", "product_name", "category", "cost")}
+    customers = {c: c for c in ("customer_number", "country", "gender", "birthdate")}
+    for name, key, columns in (
+        ("dim_product", "product_key", products),
+        ("dim_customer", "customer_key", customers),
+    ):
+        dimension = warehouse.read(name).withColumn(key, F.col(key).cast("int"))
+        facts = lookup(facts, dimension, (key, key), columns)
+    return _plain(facts.drop("product_key", "customer_key", "shipping_date", "due_date"))

@@ -27,11 +27,14 @@ def recode(
     ``labels`` maps each label to the codes that mean it. Anything else, NULL
     included, becomes ``default``, which may be a column.
     """
+    other = default if isinstance(default, Column) else F.lit(default)
+    if not labels:
+        return other
     code = fold_codes(column, fold_case)
     result = F
     for label, codes in labels.items():
         result = result.when(code.isin(*codes), F.lit(label))
-    return result.otherwise(default if isinstance(default, Column) else F.lit(default))
+    return result.otherwise(other)
 
 
 def recode_shadowed(column: Column, unknown: str = UNKNOWN) -> Column:

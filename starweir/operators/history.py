@@ -3,24 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweir.operators.skew import (
-    MAX_KEY_ROWS,
-    hot_key_cuts,
-    hot_keys,
-    position_in,
-    with_hot,
-)
-from starweir.staging import stage
+from starweir.operators.dense_keys import dense_key
 
-_ORIGIN = "_origin"
-_NEXT = "_next"
+# Rows that one task looks at in validity_ranges.
+BLOCK_ROWS = 1_000_000
+
+_NUMBER, _BLOCK, _NEXT, _HEAD = "_number", "_number_block", "_next", "_head"
 
 
 def _rest(df: DataFrame, *used: str) -> list[str]:
@@ -44,6 +38,8 @@ def latest_per_key(
     """
     if tie_break is None:
         tie_break = _rest(df, *keys, recency)
+        if len(tie_break) + len({*keys, recency}) < len(df.columns):
+            raise TypeError("columns without an order: say what breaks ties")
     newest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(recency), *tie_break)
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
@@ -54,75 +50,38 @@ def validity_ranges(
     start: str,
     end: str,
     tie_break: Sequence[str] | None = None,
-    max_key_rows: int = MAX_KEY_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Set ``end`` to the day before the key's next ``start``; NULL on the last.
 
     Versions of a key are ordered by ``start`` and then ``tie_break``, by default
-    all other columns. Keys with more than ``max_key_rows`` rows are handled by
-    :func:`_ranged_next`, the rest by one window.
+    all other columns. All rows are numbered in the order of key and version, so
+    that a row's successor has the next number, and are then looked at in blocks of
+    ``block_rows``. A key may have any number of rows: a block does not care where
+    one key ends, and a block's last row takes its successor from a table with the
+    first row of each block.
     """
     if tie_break is None:
         tie_break = _rest(df, *keys, start, end)
-    order = [start, *tie_break]
     columns = df.columns if end in df.columns else [*df.columns, end]
-    following = F.lead(start).over(Window.partitionBy(*keys).orderBy(*order))
-
-    hot = hot_keys(df, keys, max_key_rows)
-    if not hot.num_rows:
-        return df.withColumn(end, F.date_sub(following, 1))
-
-    origin = df.withColumn(_ORIGIN, F.spark_partition_id())
-    cuts = hot_key_cuts(origin, keys, [*order, _ORIGIN], hot, max_key_rows)
-    # Both sides go by the same list, so that no key is left out or taken twice.
-    cold = with_hot(df, keys, cuts.select(list(keys)), "left_anti").withColumn(_NEXT, following)
-    ranged = _ranged_next(origin, keys, order, cuts)
-    return cold.unionByName(ranged).withColumn(end, F.date_sub(_NEXT, 1)).select(*columns)
-
-
-def _ranged_next(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: pa.Table
-) -> DataFrame:
-    """The rows of the keys in ``cuts`` with the next value of the leading order
-    column.
-
-    Each key is divided at its cuts into ranges of the order, ending in the input
-    partition so that copies of one row can be divided too. The last row of a
-    range takes its successor from the first row of the next.
-    """
-    start = order[0]
-    position = F.struct(*[F.col(c) for c in [*order, _ORIGIN]])
-    cut_type = T.ArrayType(df.select(position.alias("p")).schema["p"].dataType)
-    longest = pc.max(pc.list_value_length(cuts["_cuts"])).as_py() or 0
-    tagged = (
-        with_hot(df, keys, cuts, "inner", {"_cuts": cut_type})
-        .withColumn("_range", position_in(F.col("_cuts"), position, longest))
-        .drop("_cuts", _ORIGIN)
+    numbered = dense_key(df, [*keys, start, *tie_break], _NUMBER).withColumn(
+        _BLOCK, F.expr(f"({_NUMBER} - 1) DIV {block_rows}")
     )
-    # Both uses below must see the same ranges, whatever partitions they read.
-    tagged = stage(tagged, "ranges")
-
-    # The first value of each range. NULLs come first, min() skips them.
-    first = F.when(F.count(start) == F.count(F.lit(1)), F.min(start)).alias("_first")
-    heads = tagged.groupBy(*keys, "_range").agg(first)
-    heads = heads.select(
-        *[F.col(k).alias(f"_head_{i}") for i, k in enumerate(keys)],
-        F.col("_range").alias("_head_range"),
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_range")).alias("_next_head"),
-    )
-
-    # A struct tells "no following row" from "a following row that starts at NULL".
-    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
-    ranged = tagged.withColumn("_inside", F.lead(F.struct(start)).over(inside))
-    same_range = [F.col(k).eqNullSafe(F.col(f"_head_{i}")) for i, k in enumerate(keys)]
-    # One head per range, so at most about one per max_key_rows rows.
-    joined = ranged.join(
-        F.broadcast(heads), [F.col("_range") == F.col("_head_range"), *same_range], "left"
+    row = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(start).alias("at"))
+    # One row for every block_rows rows.
+    heads = numbered.where((F.col(_NUMBER) - 1) % block_rows == 0).select(
+        (F.col(_BLOCK) - 1).alias(_BLOCK), row.alias(_HEAD)
     )
-    following = F.when(F.col("_inside").isNotNull(), F.col("_inside")[start]).otherwise(
-        F.col("_next_head")
+    inside = F.lead(row).over(Window.partitionBy(_BLOCK).orderBy(_NUMBER))
+    following = F.coalesce(F.col(_NEXT), F.col(_HEAD))
+    same_key = [following[f"k{i}"].eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
+    until = F.when(reduce(Column.__and__, same_key), F.date_sub(following["at"], 1))
+    return (
+        numbered.withColumn(_NEXT, inside)
+        .join(F.broadcast(heads), _BLOCK, "left")
+        .withColumn(end, until)
+        .select(*columns)
     )
-    return joined.withColumn(_NEXT, following).select(*tagged.columns, _NEXT).drop("_range")
 
 
 def current_version(df: DataFrame, end: str) -> DataFrame:

@@ -15,19 +15,31 @@ from starweir.operators.skew import MAX_KEY_ROWS, hot_keys, with_hot
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NARROW = (
+    *_INTEGRAL,
+    T.BooleanType,
+    T.FractionalType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.NullType,
+)
 _KEY = "_lookup_key"
 
 
 def fits_in_memory(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether the actual contents of ``df`` stay within ``limit`` bytes."""
+    """Whether the actual contents of ``df`` are known to stay within ``limit`` bytes."""
+    if limit <= 0:
+        return False
     width = F.lit(16)
     for field in df.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(8)
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return False
-        else:
+        elif isinstance(field.dataType, _NARROW):
             width = width + F.lit(16)
+        else:
+            # Of unknown size, so not known to fit.
+            return False
     size = df.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"]
     return (size or 0) <= limit
 
@@ -40,6 +52,7 @@ def lookup(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     max_key_rows: int = MAX_KEY_ROWS,
     sample_from: DataFrame | None = None,
+    right_sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``columns`` of ``other`` (source name to new name) where ``on`` matches.
 
@@ -50,7 +63,8 @@ def lookup(
     there, and their partners copied to each slice.
 
     ``sample_from`` is a table in which the key is distributed much as in ``df``
-    but that is cheaper to read, if ``df`` is itself a join.
+    but that is cheaper to read, if ``df`` is itself a join; ``right_sample_from`` is the
+    same for ``other``.
     """
     left_key, right_key = on
     right = other.select(
@@ -65,7 +79,12 @@ def lookup(
 
     left_keys = (df if sample_from is None else sample_from).select(left_on.alias(_KEY))
     many = hot_keys(left_keys, [_KEY], max_key_rows).rename_columns([_KEY, "_left_parts"])
-    repeated = hot_keys(right.select(right_on.alias(_KEY)), [_KEY], max_key_rows)
+    if right_sample_from is None:
+        right_keys = right.select(right_on.alias(_KEY))
+    else:
+        sampled = right_sample_from.where(F.col(right_key).isNotNull())
+        right_keys = sampled.select(F.col(right_key).cast(kind).alias(_KEY))
+    repeated = hot_keys(right_keys, [_KEY], max_key_rows)
     repeated = repeated.rename_columns([_KEY, "_right_parts"])
     if not many.num_rows and not repeated.num_rows:
         return df.join(right, same_key, "left").select(*result)
@@ -96,13 +115,24 @@ def _divided(df: DataFrame, key: Column, hot: pa.Table, parts: str, name: str) -
     """Spread the rows of each hot key over its ``parts``.
 
     The slice must not change when a lost task is run again: it depends on the
-    row and on the input partition, which also divides copies of one row.
+    row and on the input partition, which also divides copies of one row. Columns
+    that cannot be hashed are left out.
     """
-    spread = F.xxhash64(*[F.col(c) for c in df.columns]) + F.spark_partition_id()
+    hashed = [f.name for f in df.schema if not _holds(f.dataType, (T.MapType, T.VariantType))]
+    spread = F.xxhash64(*[F.col(c) for c in hashed], F.spark_partition_id())
     part = F.coalesce(F.pmod(spread, F.col(parts)).cast("int"), F.lit(0))
     return with_hot(df, [key], hot).withColumn(name, part)
 
 
+def _holds(kind: T.DataType, wanted: tuple) -> bool:
+    """Whether ``kind`` is, or has inside, one of the ``wanted`` types."""
+    if isinstance(kind, wanted):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _holds(kind.elementType, wanted)
+    return isinstance(kind, T.StructType) and any(_holds(f.dataType, wanted) for f in kind)
+
+
 def _copied(df: DataFrame, parts: str, name: str) -> DataFrame:
     """One copy of each row for every slice of its partners."""
     slices = F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1)

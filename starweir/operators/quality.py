@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -114,6 +114,12 @@ def schema_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def reject_report(counts: Mapping[str, Mapping[str, int]], spark: SparkSession) -> DataFrame:
+    """One row per table and column with values that became NULL: how many."""
+    rows = [(t, c, n) for t, columns in counts.items() for c, n in columns.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, rejects bigint")
+
+
 def date_rejects(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Per integer-date column, the values that have eight digits but name no day."""
     columns = list(columns)
@@ -126,27 +132,41 @@ def date_rejects(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return counted.unpivot([], columns, "column_name", "rejects")
 
 
-def readiness(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Whether each named path holds files: name, present, files, bytes.
+def readiness(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    read: Callable[[str], DataFrame] | None = None,
+) -> DataFrame:
+    """Whether each named path holds data: name, present, files, bytes, rows.
 
-    Only the listing is read, not the contents, and nothing is created.
+    Without ``read`` only the listing is looked at and rows are NULL. With it, which
+    turns a path into a table, the tables' rows are counted as well, and a path with
+    files but without rows is not present. Nothing is created.
     """
     # Makes paths without files appear.
     none = pa.table({"name": list(paths), "length": pa.nulls(len(paths), pa.int64())})
     listings = [spark.createDataFrame(none)]
+    found: dict[str, str] = {}
     for name, path in paths.items():
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
         try:
             listings.append(files.load(path).select(F.lit(name).alias("name"), "length"))
+            found[name] = path
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    return (
+    listed = (
         reduce(DataFrame.unionByName, listings)
         .groupBy("name")
         .agg(F.count("length").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-        .select("name", (F.col("files") > 0).alias("present"), "files", "bytes")
     )
+    if read is None or not found:
+        rows = listed.withColumn("rows", F.lit(None).cast("bigint"))
+    else:
+        counts = row_counts({name: read(path) for name, path in found.items()})
+        rows = listed.join(counts.toDF("name", "rows"), "name", "left")
+    present = (F.col("files") > 0) & (F.coalesce("rows", F.lit(1)) > 0)
+    return rows.select("name", present.alias("present"), "files", "bytes", "rows")
 
 
 def require_ready(spark: SparkSession, paths: Mapping[str, str]) -> None:

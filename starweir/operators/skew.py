@@ -8,7 +8,6 @@ never what the result is.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -68,44 +67,3 @@ def with_hot(
     same = [column.eqNullSafe(F.col(name)) for column, name in zip(columns, names)]
     joined = df.join(F.broadcast(small), reduce(Column.__and__, same), how)
     return joined.drop(*names[:count])
-
-
-def hot_key_cuts(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    hot: pa.Table,
-    max_rows: int = MAX_KEY_ROWS,
-) -> pa.Table:
-    """For each of the ``hot`` keys its ``cuts``: ascending structs of the order
-    columns, about ``max_rows`` rows apart. At most about one per ``max_rows`` rows."""
-    position = F.struct(*[F.col(c) for c in order])
-    sampled, per_part = _sample(df.select(*keys, position.alias("_position")), max_rows)
-    cuts = F.filter("_positions", lambda _, i: i % per_part == per_part - 1)
-    return (
-        with_hot(sampled, keys, hot.select(list(keys)), "left_semi")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list("_position")).alias("_positions"))
-        .select(*keys, cuts.alias("_cuts"))
-        .toArrow()
-    )
-
-
-def position_in(cuts: Column, value: Column, longest: int) -> Column:
-    """How many of the ascending ``cuts`` lie below ``value``, by halving.
-
-    ``longest`` is the length of the longest array of cuts.
-    """
-    steps = F.sequence(F.lit(1), F.lit(max(1, math.ceil(math.log2(longest + 1)))))
-    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.shiftright(span["low"] + span["high"], 1)
-        done = span["low"] >= span["high"]
-        below = F.get(cuts, middle) < value
-        return F.struct(
-            F.when(~done & below, middle + 1).otherwise(span["low"]).alias("low"),
-            F.when(~done & ~below, middle).otherwise(span["high"]).alias("high"),
-        )
-
-    return F.aggregate(steps, start, halve, lambda span: span["low"])

@@ -22,7 +22,6 @@ from starweir.functions import (
     strip_prefix,
 )
 from starweir.operators import latest_per_key, repair_amounts, validity_ranges
-from starweir.operators.skew import MAX_KEY_ROWS
 from starweir.schemas import CLEAN_PRODUCT, CLEAN_SALES, CRM_CUSTOMER, ERP_CATEGORY, UNKNOWN
 
 # The code lists of the source systems, label to codes.
@@ -48,7 +47,7 @@ def cleanse_crm_customer(df: DataFrame) -> DataFrame:
     ).select(*CRM_CUSTOMER.names)
 
 
-def cleanse_crm_product(df: DataFrame, max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+def cleanse_crm_product(df: DataFrame) -> DataFrame:
     """Category and product key apart, cost and line filled, validity recomputed.
 
     The source's end date is not used: each version ends the day before the next
@@ -60,13 +59,13 @@ def cleanse_crm_product(df: DataFrame, max_key_rows: int = MAX_KEY_ROWS) -> Data
         category.alias("cat_id"),
         product.alias("prd_key"),
         "prd_nm",
-        F.coalesce("prd_cost", F.lit(0)).alias("prd_cost"),
+        F.coalesce("prd_cost", F.lit(0.0)).alias("prd_cost"),
         recode(F.col("prd_line"), PRODUCT_LINE).alias("prd_line"),
         F.col("prd_start_dt").cast("date").alias("prd_start_dt"),
     )
-    return validity_ranges(
-        prepared, ["prd_key"], "prd_start_dt", "prd_end_dt", max_key_rows=max_key_rows
-    ).select(*CLEAN_PRODUCT.names)
+    return validity_ranges(prepared, ["prd_key"], "prd_start_dt", "prd_end_dt").select(
+        *CLEAN_PRODUCT.names
+    )
 
 
 def cleanse_crm_sales(df: DataFrame) -> DataFrame:

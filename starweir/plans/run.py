@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starweir.jobs import at_once
-from starweir.operators.quality import compare_counts, require_ready
+from starweir.operators.quality import (
+    ERP_CONSTRAINTS,
+    Constraints,
+    compare_counts,
+    constraint_report,
+    reject_report,
+    require_ready,
+)
 from starweir.plans.cleanse import cleansers
 from starweir.plans.star import build_dim_customer, build_dim_product, build_fact_sales
 from starweir.plans.warehouse import Warehouse, load_warehouse
 from starweir.schemas import CLEANSED, SOURCES, WAREHOUSE
-from starweir.sources import conform, ingest_tables, land_csv_folder, read_table, write_table
-from starweir.staging import temporary
+from starweir.sources import (
+    conform,
+    ingest_summary,
+    ingest_tables,
+    land_csv_folder,
+    misfits,
+    read_table,
+    write_table,
+)
+from starweir.staging import stage, temporary
 
 CRM_TABLES = ("cust_info", "prd_info", "sales_details")
 ERP_TABLES = ("customers", "customer_locations", "product_categories")
@@ -58,7 +74,15 @@ def ingest(
             partial(ingest_tables, spark, erp_tables, read_erp, root, layers.format),
         ]
     )
-    return landed.unionByName(copied)
+    return landed.unionByName(copied, allowMissingColumns=True)
+
+
+@dataclass
+class Cleansed:
+    """Rows written by table, and by table and column the values that did not fit."""
+
+    rows: dict[str, int]
+    rejects: dict[str, dict[str, int]]
 
 
 def cleanse(
@@ -66,18 +90,32 @@ def cleanse(
     as_of: Column | None = None,
     labelled_gender: bool = True,
     tables: Sequence[str] = (*CRM_TABLES, *ERP_TABLES),
-) -> dict[str, int]:
-    """Raw to cleansed, returning the rows of each table. The tables do not depend
-    on each other."""
+) -> Cleansed:
+    """Raw to cleansed. The tables do not depend on each other.
+
+    A raw value that does not fit its declared type becomes NULL. It is counted while
+    the typed table is written, and the raw rows that have one are kept, whole, in the
+    layer ``rejected``: also those that no transform keeps, as their key is NULL now.
+    """
     require_ready(layers.spark, {t: layers.path("raw", t) for t in tables})
     transforms = cleansers(as_of, labelled_gender)
 
-    def job(table: str) -> int:
-        source = conform(layers.read("raw", table), SOURCES[table])
+    def job(table: str) -> tuple[int, dict[str, int]]:
+        raw, seen = layers.read("raw", table), Observation()
+        bad = misfits(raw, SOURCES[table])
         with temporary(layers.spark):
-            return layers.write("cleansed", table, transforms[table](source))
+            if not bad:
+                return layers.write("cleansed", table, transforms[table](raw)), {}
+            counts = [F.count_if(is_bad).alias(column) for column, is_bad in bad.items()]
+            typed = stage(conform(raw.observe(seen, *counts), SOURCES[table]), "typed")
+            rejects = {column: n for column, n in seen.get.items() if n}
+            if rejects:
+                rows = reduce(Column.__or__, (bad[column] for column in rejects))
+                layers.write("rejected", table, raw.where(rows))
+            return layers.write("cleansed", table, transforms[table](typed)), rejects
 
-    return dict(zip(tables, at_once([partial(job, t) for t in tables])))
+    done = dict(zip(tables, at_once([partial(job, t) for t in tables])))
+    return Cleansed({t: n for t, (n, _) in done.items()}, {t: r for t, (_, r) in done.items()})
 
 
 def model(layers: Layers) -> dict[str, int]:
@@ -118,6 +156,61 @@ def load(layers: Layers, warehouse: Warehouse) -> DataFrame:
     return load_warehouse({t: star_table(layers, t) for t in WAREHOUSE}, warehouse)
 
 
+def validate(layers: Layers, tables: Sequence[str] = ERP_TABLES) -> DataFrame:
+    """What the written layers break of what is promised: layer, table_name, check_name,
+    column_name, violations. The ERP sources' keys, NOT NULLs and lengths in the raw
+    layer, the declared columns and the surrogate keys in the star schema."""
+    reports = [
+        constraint_report(layers.read("raw", t), ERP_CONSTRAINTS[t]).select(
+            F.lit("raw").alias("layer"), F.lit(t).alias("table_name"), "*"
+        )
+        for t in tables
+    ]
+    keys = {"dim_customer": ("customer_key",), "dim_product": ("product_key",), "fact_sales": ()}
+    reports += [
+        constraint_report(
+            layers.read("star", t, WAREHOUSE[t] if layers.format == "csv" else None),
+            Constraints(keys[t]),
+            WAREHOUSE[t],
+        ).select(F.lit("star").alias("layer"), F.lit(t).alias("table_name"), "*")
+        for t in WAREHOUSE
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+@dataclass
+class RunResult:
+    """What each step of a run says about itself, as small tables."""
+
+    ingested: DataFrame
+    rejects: DataFrame
+    checks: DataFrame
+    counts: DataFrame
+
+
+def run_checked(
+    layers: Layers,
+    crm_folder: str,
+    erp_tables: Iterable[str],
+    read_erp: Callable[[str], DataFrame],
+    warehouse: Warehouse,
+    as_of: Column | None = None,
+    labelled_gender: bool = True,
+) -> RunResult:
+    """Everything, in order, then the checks. Any failed step raises; violations and
+    rejects are reported."""
+    arrived = ingest(layers, crm_folder, erp_tables, read_erp)
+    cleansed = cleanse(layers, as_of, labelled_gender)
+    written = model(layers)
+    loaded = load(layers, warehouse).select("table_name", "row_count")
+    return RunResult(
+        ingest_summary(arrived),
+        reject_report(cleansed.rejects, layers.spark),
+        validate(layers),
+        compare_counts(loaded, written),
+    )
+
+
 def run(
     layers: Layers,
     crm_folder: str,
@@ -129,7 +222,6 @@ def run(
 ) -> DataFrame:
     """Everything, in order. Any failed step raises; the result compares the rows
     in the warehouse with the rows of the star schema."""
-    ingest(layers, crm_folder, erp_tables, read_erp)
-    cleanse(layers, as_of, labelled_gender)
-    written = model(layers)
-    return compare_counts(load(layers, warehouse).select("table_name", "row_count"), written)
+    return run_checked(
+        layers, crm_folder, erp_tables, read_erp, warehouse, as_of, labelled_gender
+    ).counts

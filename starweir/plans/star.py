@@ -31,6 +31,7 @@ def build_dim_customer(crm: DataFrame, erp: DataFrame, locations: DataFrame) ->
         ("cst_key", "cid"),
         {"bdate": "birthdate", "gen": "erp_gender", "country": "country"},
         max_broadcast_bytes=limit,
+        right_sample_from=known,
     )
     customers = joined.select(
         F.col("cst_id").alias("customer_id"),

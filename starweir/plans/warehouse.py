@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starweir.jobs import at_once
 from starweir.sources import read_table, write_table
 
 # Column types the warehouse wants, where they differ from ours.
@@ -83,19 +85,22 @@ def load_warehouse(tables: Mapping[str, DataFrame], warehouse: Warehouse) -> Dat
     One row per table with status ``loaded``; a failure raises :class:`LoadError`,
     in whose result the facts are ``skipped`` if a dimension failed.
     """
+
+    def load(table: str) -> tuple[str, int | None, str, str | None]:
+        try:
+            return table, load_table(tables[table], warehouse, table), "loaded", None
+        except Exception as error:  # noqa: BLE001 - reported in the result
+            return table, None, "failed", str(error)
+
     outcomes: list[tuple[str, int | None, str, str | None]] = []
     failed = None
     for group in (DIMENSIONS, FACTS):
         if failed:
             outcomes += [(table, None, "skipped", None) for table in group]
             continue
-        for table in group:
-            try:
-                rows = load_table(tables[table], warehouse, table)
-                outcomes.append((table, rows, "loaded", None))
-            except Exception as error:  # noqa: BLE001 - reported in the result
-                outcomes.append((table, None, "failed", str(error)))
-                failed = failed or table
+        done = at_once([partial(load, table) for table in group])
+        outcomes += done
+        failed = next((table for table, _, status, _ in done if status == "failed"), None)
     spark = next(iter(tables.values())).sparkSession
     result = spark.createDataFrame(outcomes, RESULT)
     if failed:

@@ -15,12 +15,13 @@ def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-_INT, _LONG, _DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
+_LONG, _DOUBLE = T.LongType(), T.DoubleType()
 _TEXT, _DATE = T.StringType(), T.DateType()
 
-# Source tables.
+# Source tables. The column names. Ids, dates and quantities may have any
+# whole number, amounts and prices may be fractional.
 CRM_CUSTOMER = _table(
-    cst_id=_INT,
+    cst_id=_LONG,
     cst_key=_TEXT,
     cst_firstname=_TEXT,
     cst_lastname=_TEXT,
@@ -29,10 +30,10 @@ CRM_CUSTOMER = _table(
     cst_create_date=_DATE,
 )
 CRM_PRODUCT = _table(
-    prd_id=_INT,
+    prd_id=_LONG,
     prd_key=_TEXT,
     prd_nm=_TEXT,
-    prd_cost=_INT,
+    prd_cost=_DOUBLE,
     prd_line=_TEXT,
     prd_start_dt=_DATE,
     prd_end_dt=_DATE,
@@ -40,13 +41,13 @@ CRM_PRODUCT = _table(
 CRM_SALES = _table(
     sls_ord_num=_TEXT,
     sls_prd_key=_TEXT,
-    sls_cust_id=_INT,
-    sls_order_dt=_INT,
-    sls_ship_dt=_INT,
-    sls_due_dt=_INT,
-    sls_sales=_INT,
-    sls_quantity=_INT,
-    sls_price=_INT,
+    sls_cust_id=_LONG,
+    sls_order_dt=_LONG,
+    sls_ship_dt=_LONG,
+    sls_due_dt=_LONG,
+    sls_sales=_DOUBLE,
+    sls_quantity=_LONG,
+    sls_price=_DOUBLE,
 )
 ERP_CUSTOMER = _table(
     cid=_TEXT,
@@ -73,14 +74,13 @@ SOURCES = {
     "product_categories": ERP_CATEGORY,
 }
 
-# Cleansed tables. Those that keep their source schema reuse it. The repaired
-# sales amount is a BIGINT because quantity * price may leave the INT range.
+# Cleansed tables. Those that keep their source schema reuse it.
 CLEAN_PRODUCT = _table(
-    prd_id=_INT,
+    prd_id=_LONG,
     cat_id=_TEXT,
     prd_key=_TEXT,
     prd_nm=_TEXT,
-    prd_cost=_INT,
+    prd_cost=_DOUBLE,
     prd_line=_TEXT,
     prd_start_dt=_DATE,
     prd_end_dt=_DATE,
@@ -88,12 +88,12 @@ CLEAN_PRODUCT = _table(
 CLEAN_SALES = _table(
     sls_ord_num=_TEXT,
     sls_prd_key=_TEXT,
-    sls_cust_id=_INT,
+    sls_cust_id=_LONG,
     sls_order_dt=_DATE,
     sls_ship_dt=_DATE,
     sls_due_dt=_DATE,
-    sls_sales=_LONG,
-    sls_quantity=_INT,
+    sls_sales=_DOUBLE,
+    sls_quantity=_LONG,
     sls_price=_DOUBLE,
 )
 
@@ -109,7 +109,7 @@ CLEANSED = {
 # Warehouse tables.
 DIM_CUSTOMER = _table(
     customer_key=_LONG,
-    customer_id=_INT,
+    customer_id=_LONG,
     customer_number=_TEXT,
     first_name=_TEXT,
     last_name=_TEXT,
@@ -121,14 +121,14 @@ DIM_CUSTOMER = _table(
 )
 DIM_PRODUCT = _table(
     product_key=_LONG,
-    product_id=_INT,
+    product_id=_LONG,
     product_number=_TEXT,
     product_name=_TEXT,
     category_id=_TEXT,
     category=_TEXT,
     subcategory=_TEXT,
     maintenance=_TEXT,
-    cost=_INT,
+    cost=_DOUBLE,
     product_line=_TEXT,
     start_date=_DATE,
 )
@@ -139,8 +139,8 @@ FACT_SALES = _table(
     order_date=_DATE,
     shipping_date=_DATE,
     due_date=_DATE,
-    sales_amount=_LONG,
-    quantity=_INT,
+    sales_amount=_DOUBLE,
+    quantity=_LONG,
     price=_DOUBLE,
 )
 

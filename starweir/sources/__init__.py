@@ -1,7 +1,14 @@
 """Reading and writing tables: files, SQL databases, the raw layer."""
 
-from starweir.sources.files import conform, import_delimited, read_csv, read_table, write_table
-from starweir.sources.ingest import IngestError, ingest_tables, land_csv_folder
+from starweir.sources.files import (
+    conform,
+    import_delimited,
+    misfits,
+    read_csv,
+    read_table,
+    write_table,
+)
+from starweir.sources.ingest import IngestError, ingest_summary, ingest_tables, land_csv_folder
 from starweir.sources.jdbc import JdbcDatabase
 
 __all__ = [
@@ -9,8 +16,10 @@ __all__ = [
     "JdbcDatabase",
     "conform",
     "import_delimited",
+    "ingest_summary",
     "ingest_tables",
     "land_csv_folder",
+    "misfits",
     "read_csv",
     "read_table",
     "write_table",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +19,10 @@ def read_csv(
     """CSV with a header line: a file, a folder of part files, or several.
 
     With ``schema`` the columns are bound by position and nothing is scanned
-    before the query runs. ``infer`` costs a pass over the data. With neither,
-    every column is a string.
+    before the query runs. If the schema has a string column ``_corrupt_record``,
+    it gets the text of a line that does not fit; otherwise such a line is an error
+    with ``mode="FAILFAST"`` and loses what does not fit without. ``infer`` costs a
+    pass over the data. With neither, every column is a string.
     """
     reader = spark.read.options(header=True, **options)
     if schema is not None:
@@ -51,10 +53,24 @@ def import_delimited(
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns in the declared types; values that do not fit are NULL."""
+    """The declared columns in the declared types; values that do not fit are NULL.
+
+    :func:`misfits` tells which those are.
+    """
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
+def misfits(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """For each declared column of another type in ``df``: whether a row's value, not
+    blank, becomes NULL in :func:`conform`."""
+    return {
+        f.name: (F.trim(F.col(f.name).cast("string")) != "")
+        & F.col(f.name).try_cast(f.dataType).isNull()
+        for f in schema
+        if df.schema[f.name].dataType != f.dataType
+    }
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, format: str = "parquet"
 ) -> DataFrame:

@@ -6,12 +6,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starweir.jobs import at_once
 from starweir.sources.files import read_csv, write_table
 
+MALFORMED = "_malformed"
 RESULT = "table_name string, row_count bigint, status string, message string"
 
 
@@ -68,10 +70,31 @@ def land_csv_folder(
     """Copy every ``*.csv`` of ``folder``, a file or a folder of part files, to
     the raw layer, one table each, named by what precedes ``.csv``.
 
-    Values stay the text they are. Returns what ingest_tables returns.
+    Values stay the text they are. A line with more or fewer fields than the header
+    keeps those that it has, and its whole text goes to ``<root>_malformed/<name>``.
+    Returns what ingest_tables returns and the number of such lines, ``malformed``.
     """
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.csv")
     files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     entries = [entry.getPath() for entry in files.globStatus(pattern) or []]
     paths = {path.getName().removesuffix(".csv"): path.toString() for path in entries}
-    return ingest_tables(spark, sorted(paths), lambda name: read_csv(spark, paths[name]), root, format)
+    names = sorted(paths)
+    seen = {name: Observation() for name in names}
+
+    def lines(name: str) -> DataFrame:
+        columns = read_csv(spark, paths[name]).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, MALFORMED]])
+        return read_csv(spark, paths[name], schema, columnNameOfCorruptRecord=MALFORMED)
+
+    def table(name: str) -> DataFrame:
+        odd = F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
+        return lines(name).observe(seen[name], odd).drop(MALFORMED)
+
+    result = ingest_tables(spark, names, table, root, format)
+    counts = {name: seen[name].get["malformed"] for name in names}
+    for name in (n for n in names if counts[n]):
+        bad = lines(name).withColumn("file", F.input_file_name())
+        bad = bad.where(F.col(MALFORMED).isNotNull())
+        write_table(bad, f"{root}_malformed/{name}", "parquet")
+    found = spark.createDataFrame(list(counts.items()), "table_name string, malformed bigint")
+    return result.join(F.broadcast(found), "table_name")

@@ -6,6 +6,7 @@ written, and later scans read only the columns they need.
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_log = logging.getLogger(__name__)
 _local_root: str | None = None
 _staged_here: ContextVar[list[str] | None] = ContextVar("staged_here", default=None)
 
@@ -33,6 +35,7 @@ def scratch_root(spark: SparkSession) -> str:
     global _local_root
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="starweir-")
+        _log.warning("spark.checkpoint.dir is not set; staging in %s", _local_root)
     return _local_root
 
 

@@ -1,5 +1,6 @@
 import datetime
 import random
+import time
 
 import pytest
 from conftest import plan, rows
@@ -68,17 +69,17 @@ def python_ends(given):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("max_key_rows", [3, 40, 200, 10_000_000])
-def test_validity_ranges_of_hot_keys_match_brute_force(spark, max_key_rows):
-    rng = random.Random(max_key_rows)
+@pytest.mark.parametrize("block_rows", [3, 40, 200, 10_000_000])
+def test_validity_ranges_of_hot_keys_match_brute_force(spark, block_rows):
+    rng = random.Random(block_rows)
     given = []
     for _ in range(1500):
         key = rng.choice(["hot", "hot", None, None, *(f"k{i}" for i in range(30))])
         given.append((key, day(rng.choice([None, *range(60)])), rng.randrange(10**6)))
-    # Copies of one row, more than a range takes.
+    # Copies of one row, more than a block takes.
     given += [("hot", day(7), 5)] * 400
     df = spark.createDataFrame(given, "k string, d date, v int").repartition(6)
-    out = validity_ranges(df, ["k"], "d", "e", max_key_rows=max_key_rows)
+    out = validity_ranges(df, ["k"], "d", "e", block_rows=block_rows)
     assert rows(out) == python_ends(given)
 
 
@@ -95,8 +96,7 @@ def test_keys_and_orders_of_any_type(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         plain = validity_ranges(df, ["k1", "k2"], "s", "e")
-        hot = validity_ranges(df, ["k1", "k2"], "s", "e", max_key_rows=17)
-        assert "_range" in plan(hot)
+        hot = validity_ranges(df, ["k1", "k2"], "s", "e", block_rows=17)
         assert hot.exceptAll(plain).count() == plain.exceptAll(hot).count() == 0
         assert hot.count() == 600
     finally:
@@ -107,11 +107,34 @@ def test_hot_keys_are_divided_over_tasks(spark):
     df = spark.range(0, 4000, 1, 8).selectExpr(
         "'hot' AS k", "date_add(DATE'2000-01-01', cast(id AS int)) AS d", "id"
     )
-    out = validity_ranges(df, ["k"], "d", "e", max_key_rows=250)
-    physical = plan(out).split("Physical Plan")[1]
-    assert "hashpartitioning(k" in physical and "_range" in physical
-    biggest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-    assert biggest < 2500
+    out = validity_ranges(df, ["k"], "d", "e", block_rows=250)
+    assert "hashpartitioning(k" not in plan(out)
+    assert "hashpartitioning(_number_block" in plan(out)
+
+
+def test_wide_rows_cost_the_same_in_any_number_of_blocks(spark):
+    wide = spark.range(0, 20_000, 1, 8).selectExpr(
+        "'hot' AS k", "date_add(DATE'2000-01-01', cast(id AS int)) AS d", "repeat('x', 1000) AS v", "id"
+    ).cache()
+    wide.count()
+
+    def seconds(block_rows: int) -> float:
+        begin = time.perf_counter()
+        out = validity_ranges(wide, ["k"], "d", "e", ["id"], block_rows=block_rows)
+        assert out.where("e IS NULL").count() == 1
+        return time.perf_counter() - begin
+
+    seconds(5000)
+    few, many = seconds(5000), seconds(20)
+    wide.unpersist()
+    assert many < 3 * few + 3
+
+
+def test_latest_needs_a_tie_break_for_columns_without_order(spark):
+    df = spark.sql("SELECT 1 AS k, DATE'2000-01-01' AS d, map('a', 1) AS m")
+    with pytest.raises(TypeError):
+        latest_per_key(df, ["k"], "d")
+    assert latest_per_key(df, ["k"], "d", []).count() == 1
 
 
 def test_ranges_leave_no_gap_and_do_not_overlap(spark, sf_dir):

@@ -52,7 +52,8 @@ def test_small_tables_are_broadcast_and_big_ones_are_not(tables):
 def test_size_is_measured(spark):
     df = spark.createDataFrame([("x" * 1000,)] * 10, "s string")
     assert fits_in_memory(df, 20_000) and not fits_in_memory(df, 10_000)
-    assert fits_in_memory(df.where("false"), 0)
+    assert fits_in_memory(df.where("false"), 1) and not fits_in_memory(df.where("false"), 0)
+    assert not fits_in_memory(df.selectExpr("parse_json('[1]') AS v"))
     assert not fits_in_memory(df.selectExpr("array(s) AS a"))
 
 
@@ -88,3 +89,26 @@ def test_hot_keys_are_found_by_sampling(spark):
     found = {r["k"]: r["parts"] for r in hot_keys(df, ["k"], 20_000).to_pylist()}
     assert set(found) == {"hot", None}
     assert all(5 <= parts <= 9 for parts in found.values())
+
+
+def test_nothing_is_measured_at_limit_0(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("limit-0", "")
+    try:
+        df = spark.range(10)
+        lookup(df, spark.range(5), ("id", "id"), {"id": "found"}, 0, sample_from=spark.range(0))
+        assert len(tracker.getJobIdsForGroup("limit-0")) <= 2  # the two samples
+        assert not fits_in_memory(df, 0)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("max_key_rows", [10**7, 20])
+def test_columns_that_cannot_be_hashed(spark, max_key_rows):
+    left = spark.range(200).selectExpr(
+        "'hot' AS k", "id AS i", "map('a', id) AS m", "parse_json(CAST(id AS STRING)) AS v"
+    )
+    right = spark.sql("SELECT 'hot' AS k, map('b', 1) AS n, parse_json('2') AS w")
+    out = lookup(left, right, ("k", "k"), {"n": "n", "w": "w"}, 0, max_key_rows)
+    found = out.selectExpr("i", "m['a'] AS a", "n['b'] AS b", "CAST(w AS INT) AS w")
+    assert rows(found) == sorted([(i, i, 1, 2) for i in range(200)], key=repr)

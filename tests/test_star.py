@@ -1,6 +1,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import types as T
 from conftest import rows
 
 from starweir import schemas
@@ -16,7 +17,11 @@ def later(n):
 
 
 def table(spark, given, schema):
-    return spark.createDataFrame(given, schema)
+    doubles = [isinstance(f.dataType, T.DoubleType) for f in schema]
+    typed = [
+        tuple(float(v) if d and v is not None else v for v, d in zip(row, doubles)) for row in given
+    ]
+    return spark.createDataFrame(typed, schema)
 
 
 def test_latest_customer_record(spark):
@@ -33,13 +38,13 @@ def test_latest_customer_record(spark):
 
 def test_product_key_and_validity(spark):
     given = [
-        (1, "AC-HE-HL-U509-R", "Helmet", 12, "S ", later(0), later(-99)),
+        (1, "AC-HE-HL-U509-R", "Helmet", 12.0, "S ", later(0), later(-99)),
         (2, "AC-HE-HL-U509-R", "Helmet", None, "R ", later(366), None),
     ]
     out = cleanse_crm_product(table(spark, given, schemas.CRM_PRODUCT))
     assert rows(out) == [
-        (1, "AC_HE", "HL-U509-R", "Helmet", 12, "Other Sales", later(0), later(365)),
-        (2, "AC_HE", "HL-U509-R", "Helmet", 0, "Road", later(366), None),
+        (1, "AC_HE", "HL-U509-R", "Helmet", 12.0, "Other Sales", later(0), later(365)),
+        (2, "AC_HE", "HL-U509-R", "Helmet", 0.0, "Road", later(366), None),
     ]
     assert [f.dataType for f in out.schema] == [f.dataType for f in schemas.CLEAN_PRODUCT]
 
@@ -152,15 +157,15 @@ def test_star(cleansed):
         assert [(f.name, f.dataType) for f in df.schema] == declared
     assert rows(star["fact_sales"]) == sorted(
         [
-            ("SO1", 1, 1, datetime.date(2025, 1, 1), datetime.date(2025, 1, 2), None, 20, 2, 10.0),
-            ("SO1", None, 2, None, None, None, 7, None, 7.0),
-            ("SO2", None, None, None, datetime.date(2025, 1, 2), datetime.date(2025, 1, 3), 0, 2, 0.0),
+            ("SO1", 1, 1, datetime.date(2025, 1, 1), datetime.date(2025, 1, 2), None, 20.0, 2, 10.0),
+            ("SO1", None, 2, None, None, None, 7.0, None, 7.0),
+            ("SO2", None, None, None, datetime.date(2025, 1, 2), datetime.date(2025, 1, 3), 0.0, 2, 0.0),
             (
                 "SO2",
                 2,
                 None,
                 *(datetime.date(2025, 1, d) for d in (1, 2, 3)),
-                20,
+                20.0,
                 2,
                 10.0,
             ),

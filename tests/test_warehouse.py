@@ -125,8 +125,8 @@ def test_whole_run(spark, tmp_path, format):
     assert [tuple(r)[:4] for r in loaded["dim_product"].collect()] == [(1, 2, "P1", "New")]
     facts = [tuple(map(str, r)) for r in loaded["fact_sales"].orderBy("order_number").collect()]
     assert facts == [
-        ("SO1", "1", "1", "2010-12-29", "None", "None", "20", "2", "10.0"),
-        ("SO2", "None", "None", "2010-12-29", "2010-12-30", "2010-12-31", "20", "2", "10.0"),
+        ("SO1", "1", "1", "2010-12-29", "None", "None", "20.0", "2", "10.0"),
+        ("SO2", "None", "None", "2010-12-29", "2010-12-30", "2010-12-31", "20.0", "2", "10.0"),
     ]
     # Run again, everything is replaced.
     assert rows(run(layers, str(crm), erp, erp.__getitem__, warehouse, as_of)) == rows(result)
