@@ -188,11 +188,12 @@ def _spanning(left: np.ndarray, right: np.ndarray, agree) -> list[tuple[int, int
     return links
 
 
-def _grouped(key: str, links_of):
+def _grouped(key: str, links_of, quick=None):
     """For rows sorted by ``key`` and part: the links of each group of at least two rows.
 
     One group is held at a time. ``links_of(frame, side)`` gets the side of each row if
-    the group is a pair of parts, else None.
+    the group is a pair of parts, else None. ``quick(frame, lows, highs)`` does what it
+    can for many groups at once, and returns links and the groups that need more.
     """
 
     def link(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,6 +212,10 @@ def _grouped(key: str, links_of):
                 yield links(pd.concat([*held, first], ignore_index=True))
                 held = []
                 several = np.flatnonzero(np.diff(edges[1:-1]) > 1) + 1
+                if quick and len(several):
+                    found, more = quick(frame, edges[several], edges[several + 1])
+                    yield found
+                    several = several[more | frame["pair"].to_numpy()[edges[several]]]
                 if len(several):
                     yield pd.concat(
                         [
@@ -254,6 +259,25 @@ def _collisions(rules: NearRules):
     return links_of
 
 
+def _first_collisions(rules: NearRules):
+    """Links of each list's first row. A list whose rows all collide with it needs no
+    more, nor does one of two rows."""
+
+    def quick(frame: pd.DataFrame, lows: np.ndarray, highs: np.ndarray):
+        short = np.frombuffer(b"".join(frame["short"]), np.uint8).reshape(len(frame), -1)
+        nodes, side = frame["node"].to_numpy(), frame["side"].to_numpy()
+        others = highs - lows - 1
+        first, rows = np.repeat(lows, others), ranges(lows + 1, others)
+        agree = (short[rows] == short[first]).sum(1) >= rules.matches
+        missed = np.add.reduceat(~agree, np.cumsum(others) - others)
+        # In a pair of parts, rows of one side are not for this group to link.
+        hit = agree & (~frame["pair"].to_numpy()[rows] | (side[rows] != side[first]))
+        found = pd.DataFrame({"a": nodes[first[hit]], "b": nodes[rows[hit]]})
+        return found, (missed > 0) & (others > 1)
+
+    return quick
+
+
 def _confirmed(rules: NearRules):
     """Links between the whole sets of one class of candidates."""
 
@@ -340,12 +364,12 @@ def _set_rows(rules: NearRules):
     return rows
 
 
-def _linked(rows: DataFrame, key: str, links_of) -> DataFrame:
+def _linked(rows: DataFrame, key: str, links_of, quick=None) -> DataFrame:
     """The distinct links of all groups, of which each is in one task."""
     return (
         rows.repartition(key, "part")
         .sortWithinPartitions(key, "part", "node")
-        .mapInPandas(_grouped(key, links_of), "a long, b long")
+        .mapInPandas(_grouped(key, links_of, quick), "a long, b long")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .where("a <> b")
         .distinct()
@@ -398,7 +422,8 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
         _postings(rules), "list long, node long, short binary"
     )
     listed = _parted(postings, "list", F.lit(1), rules.list_rows)
-    candidates = stage(_linked(listed, "list", _collisions(rules)), "candidates")
+    collide = _linked(listed, "list", _collisions(rules), _first_collisions(rules))
+    candidates = stage(collide, "candidates")
     classes = components(candidates).withColumnRenamed("component", "class")
     members = _parted(
         sets.drop("signature").join(classes, "node"),
@@ -406,7 +431,9 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
         F.col("n_shingles"),
         rules.class_shingles,
     ).select("doc_id", "tie", "h1", "h2", "class", "part", "pair", "side", "node")
-    whole = docs.join(stage(members, "members"), ["doc_id", "tie"]).mapInArrow(
+    # Always by a shuffle: what is sent must not depend on how many members there are.
+    members = stage(members, "members").hint("merge")
+    whole = docs.join(members, ["doc_id", "tie"]).mapInArrow(
         _set_rows(rules),
         """class long, part int, pair boolean, side int, node long, n_shingles long,
         shingles binary""",

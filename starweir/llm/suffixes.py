@@ -93,8 +93,9 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     several = False  # the present leader is known to have different bytes
     held: list[np.ndarray] = []  # its first rows otherwise: documents and places
 
-    def out(doc, where, is_open) -> pd.DataFrame:
-        return pd.DataFrame({"doc": doc, "place": where, "open": is_open})
+    def out(of, doc, where, is_open) -> pd.DataFrame:
+        # Which leader matters for open stretches only.
+        return pd.DataFrame({"leader": of, "doc": doc, "place": where, "open": is_open})
 
     for frame in parts:
         if not len(frame):
@@ -118,9 +119,12 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if goes_on and (several or not group_goes_on):
             many[0] = True
         is_open = ~repeat & many[run]
-        pieces = [out(doc[repeat], where[repeat], False), out(doc[is_open], where[is_open], True)]
+        pieces = [
+            out(0, doc[repeat], where[repeat], False),
+            out(leader[is_open], doc[is_open], where[is_open], True),
+        ]
         if held and goes_on and many[0]:
-            pieces += [out(h[0], h[1], True) for h in held]
+            pieces += [out(leader_now, h[0], h[1], True) for h in held]
         if not goes_on or many[0] or len(many) > 1:
             held = []
         several = bool(many[-1])
@@ -305,13 +309,23 @@ def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
         texts.mapInArrow(_led(length), "leader long, under long, doc long, place long")
         .repartition("leader")
         .sortWithinPartitions("leader", "under", "doc", "place")
-        .mapInPandas(_resolve, "doc long, place long, open boolean"),
+        .mapInPandas(_resolve, "leader long, doc long, place long, open boolean"),
         "stretches",
     )
     release(spark)
+    # No more than one for every BUCKET_PIECES open stretches.
+    large = (
+        resolved.where("open")
+        .groupBy("leader")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > BUCKET_PIECES)
+        .toArrow()["leader"]
+        .to_numpy()
+        .view(np.uint64)
+    )
     opened = texts.join(per_document(resolved.where("open")), ["doc", "tie"])
     schema = "bucket long, doc long, place long, distance int, piece binary"
-    pieces = opened.mapInArrow(_pieces(length, np.zeros(0, np.uint64)), schema)
+    pieces = opened.mapInArrow(_pieces(length, large), schema)
     sorted_ = stage(
         pieces.repartition("bucket")
         .sortWithinPartitions("bucket")
