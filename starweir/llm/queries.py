@@ -1,5 +1,4 @@
-"""The operators of this package over the whole test tables, and SQL where it can say
-the same."""
+"""The operators of this package over the whole test tables."""
 
 from __future__ import annotations
 
@@ -135,7 +134,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_ratio_quality": _op9,
         "op10_template_decontamination": _op10,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
