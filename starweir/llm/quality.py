@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -215,23 +214,23 @@ def quality_column(ratios: np.ndarray, rules: QualityRules, spark):
     """A column expression: the counts, the score and the verdict for a text."""
     table = spark.sparkContext.broadcast(ratios)
 
-    @F.pandas_udf(RESULT)
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        data, bounds = utf8(pa.array(texts, pa.large_string(), from_pandas=True))
-        found: list[pd.DataFrame] = []
+    @F.arrow_udf(RESULT)
+    def judge(texts: pa.Array) -> pa.Array:
+        data, bounds = utf8(texts)
+        found: list[dict[str, np.ndarray]] = []
         for at, end in chunks(bounds):
             piece = data[bounds[at] : bounds[end]]
             counts, words, hashes = count_chunk(piece, bounds[at : end + 1] - bounds[at])
             counts["score"] = score_chunk(words, hashes, table.value, rules.bucket_bits)
-            found.append(pd.DataFrame(counts))
-        if not found:
-            return pd.DataFrame({name: [] for name in (*COUNTS, "score", "base_failed", "kept")})
-        out = pd.concat(found, ignore_index=True)
-        out["base_failed"] = (out.n_words < rules.least_words) | (
-            100 * out.n_repeat_words > rules.most_repeated_percent * out.n_words
+            found.append(counts)
+        none = np.zeros(0, np.int64)
+        out = {c: np.concatenate([none, *(f[c] for f in found)]) for c in COUNTS}
+        out["score"] = np.concatenate([none.astype(float), *(f["score"] for f in found)])
+        out["base_failed"] = (out["n_words"] < rules.least_words) | (
+            100 * out["n_repeat_words"] > rules.most_repeated_percent * out["n_words"]
         )
-        out["kept"] = ~out.base_failed & (out.score >= rules.threshold)
-        return out
+        out["kept"] = ~out["base_failed"] & (out["score"] >= rules.threshold)
+        return pa.StructArray.from_arrays(list(map(pa.array, out.values())), list(out))
 
     return judge
 

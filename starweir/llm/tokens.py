@@ -20,7 +20,11 @@ from starweir.llm.text import chunks, mix, piece_hashes, prefix_hashes, ranges,
 #: Pieces remembered by a worker by their hashes; beyond, it starts anew.
 CACHED_PIECES = 4_000_000
 #: Words and endings remembered as such, to put new pieces together.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
+#: Pieces given to the tokenizer at once; what it returns for each is large.
+CALL_PIECES = 5_000
+#: New pieces learnt at once.
+LEARNT_PIECES = 20_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -76,24 +80,28 @@ class Encoder:
             plain = [p for p in pieces if p.isalpha() and (p.isascii() or p.lower().isalpha())]
         else:
             plain = [p for p in pieces if p[:1] == " " and p[1:].isalpha()]
-        rest = pieces
-        if len(plain) > 1:
-            # One call for all; every word shows where it ends, or begins.
-            joined = (" " if self.word_ends else "").join(plain)
-            (found,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
-            ids = found.ids
-            marked = np.flatnonzero(self.marks[ids])
-            if len(marked) == len(plain):
-                edges = [-1, *marked.tolist()] if self.word_ends else [*marked.tolist(), len(ids)]
-                shift = 1 if self.word_ends else 0
-                for i, piece in enumerate(plain):
-                    self.words[piece] = ids[edges[i] + shift : edges[i + 1] + shift]
-                rest = [p for p in pieces if p not in self.words]
-        if rest:
-            found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-            for piece, own in zip(rest, found):
+        for at in range(0, len(plain), CALL_PIECES):
+            self._encode_joined(plain[at : at + CALL_PIECES])
+        rest = [p for p in pieces if p not in self.words]
+        for at in range(0, len(rest), CALL_PIECES):
+            few = rest[at : at + CALL_PIECES]
+            found = self.tokenizer.encode_batch_fast(few, add_special_tokens=False)
+            for piece, own in zip(few, found):
                 self.words[piece] = own.ids
 
+    def _encode_joined(self, plain: list[str]) -> None:
+        """Learn plain words by one call; every word shows where it ends, or begins."""
+        joined = (" " if self.word_ends else "").join(plain)
+        (found,) = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)
+        ids = found.ids
+        marked = np.flatnonzero(self.marks[ids])
+        if len(marked) != len(plain):
+            return
+        edges = [-1, *marked.tolist()] if self.word_ends else [*marked.tolist(), len(ids)]
+        shift = 1 if self.word_ends else 0
+        for i, piece in enumerate(plain):
+            self.words[piece] = ids[edges[i] + shift : edges[i + 1] + shift]
+
     def _parts(self, piece: str, first: bool) -> list[str]:
         """What ``piece`` is made of, each encoded by itself. A blank before it belongs to
         it unless it is the ``first``."""
@@ -189,13 +197,14 @@ class Encoder:
             new = new[np.argsort(different[new])]
             at = seen[new]
             text = data.tobytes()
-            self._learn(
-                different[new],
-                [
+            for few in np.array_split(np.arange(len(new)), len(new) // LEARNT_PIECES + 1):
+                words = [
                     (text[s:e].decode(), f)
-                    for s, e, f in zip(starts[at].tolist(), ends[at].tolist(), first[at].tolist())
-                ],
-            )
+                    for s, e, f in zip(
+                        starts[at[few]].tolist(), ends[at[few]].tolist(), first[at[few]].tolist()
+                    )
+                ]
+                self._learn(different[new[few]], words)
             places = np.searchsorted(self.hashes, different)
         lengths = self.lengths[places][codes].astype(np.int64)
         ids = self.pool[ranges(self.at[places][codes], lengths)]
