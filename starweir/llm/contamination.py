@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starweir.staging import stage
 
 NUMBER, NAME, UNIT = "#0", "#n", "#u"
+#: Before a word that is a name in one reading and itself in the other.
+MAYBE = "#a"
 
 #: Words that are units after a number.
 UNITS = """mm cm m km in ft yd mi mg g kg lb lbs oz t ml cl dl l s sec min h hr hrs ms hz khz mhz
@@ -23,6 +25,14 @@ UNITS = """mm cm m km in ft yd mi mg g kg lb lbs oz t ml cl dl l s sec min h hr
 
 # A capital after a lower-case word is no sentence's begin.
 _NAME = r"(?<=[\p{Ll}\d][,;:]?[ \n])\p{Lu}[\p{L}\p{M}'’-]*"
+# Other capitals that begin a word may be names, or plain words that begin a sentence, a
+# line or a quotation. In a row of words in capitals only the first may be one.
+_MAYBE = (
+    r"(?=\p{Lu})(?<![\p{L}\p{M}\p{N}#][^\p{L}\p{M}\p{N}\s]{0,3})"
+    r"(?:\p{Lu}['’-]?\p{Ll}|(?<!\p{Lu}[,;:]?[ \n])\p{Lu})[\p{L}\p{M}'’-]*"
+)
+_ATTACHED = r"(?<=\d)(?=\p{L})|(?<=\p{L})(?=\d)"
+_ORDINAL = r"(?<=\d)(?:st|nd|rd|th)(?![\p{L}\p{N}])"
 _NUMBER = r"(?<![\p{L}\p{N}#])\d+(?:[.,:/]\d+)*(?![\p{L}\p{N}])"
 _UNIT = rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])"
 _BLANKS = "\t\n\x0b\x0c\r"
@@ -46,30 +56,56 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(plain), " "), "")
 
 
+def _split(text: Column) -> Column:
+    """The text without marks, with a blank between digits and letters that touch; the
+    endings of ordinals go."""
+    text = F.translate(text, "#", "")
+    apart = F.regexp_replace(F.regexp_replace(text, _ORDINAL, ""), _ATTACHED, " ")
+    return F.when(text.rlike(r"\d"), apart).otherwise(text)
+
+
 def raw_words(text: Column) -> Column:
-    return _words(F.translate(text, "#", ""))
+    return _words(_split(text))
 
 
 def template_words(text: Column) -> Column:
     """The words with placeholders for numbers, names and units, at the same positions.
 
     A name is a word with a capital that does not begin a sentence, as far as the
-    character before it tells.
+    character before it tells; other words with a capital are marked with ``MAYBE``.
     """
-    text = F.translate(text, "#", "")
-    named = F.regexp_replace(text, _NAME, NAME)
+    named = F.regexp_replace(F.regexp_replace(_split(text), _NAME, NAME), _MAYBE, MAYBE + "$0")
     typed = F.regexp_replace(F.regexp_replace(named, _NUMBER, NUMBER), _UNIT, UNIT)
     return _words(F.when(named.rlike(r"\d"), typed).otherwise(named))
 
 
-def window_hashes(words: Column, n: int) -> Column:
-    """A hash of every ``n`` consecutive words; none if there are fewer.
+def _plain(word: Column) -> Column:
+    """A word in the reading in which what may be a name is none."""
+    return F.when(word.startswith(MAYBE), F.substring(word, len(MAYBE) + 1, 1 << 30)).otherwise(word)
+
+
+def _readings(window: Column) -> Column:
+    """A hash for every reading of a window: each word that may be a name is one or not."""
+
+    def longer(held: Column, word: Column) -> Column:
+        with_word = F.transform(held, lambda w: F.concat(w, F.array(_plain(word))))
+        with_name = F.transform(held, lambda w: F.concat(w, F.array(F.lit(NAME))))
+        return F.when(word.startswith(MAYBE), F.concat(with_word, with_name)).otherwise(with_word)
+
+    none = F.array(F.array().cast("array<string>"))
+    every = F.transform(F.aggregate(window, none, longer), lambda w: F.xxhash64(w))
+    open_ = F.exists(window, lambda w: w.startswith(MAYBE))
+    return F.when(open_, every).otherwise(F.array(F.xxhash64(window)))
+
+
+def _windows(words: Column, n: int) -> Column:
+    """Every ``n`` consecutive words; none if there are fewer.
 
     ``words`` should be a column of its own: it is looked at for every window.
     """
     last = F.size(words) - n + 1
-    hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, n)))
-    return F.when(last > 0, hashes).otherwise(F.array().cast("array<bigint>"))
+    windows = F.transform(F.sequence(F.lit(1), last), lambda i: F.slice(words, i, n))
+    return F.when(last > 0, windows).otherwise(F.array().cast("array<array<string>>"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -80,7 +116,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _items(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
-    """One row per item with at least one window: its words, its windows' hashes."""
+    """One row per item with at least one window: its words, and how many windows."""
     return (
         benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
         .select(
@@ -90,32 +126,41 @@ def _items(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
             template_words(F.col("text")).alias("item_words"),
         )
         .distinct()
-        .withColumn("item_hashes", window_hashes(F.col("item_words"), rules.words))
-        .where(F.size("item_hashes") > 0)
+        .withColumn("windows", F.size("item_words") - rules.words + 1)
+        .where("windows > 0")
     )
 
 
-def _probes(items: DataFrame, rules: TemplateRules) -> DataFrame:
-    """The rarest windows of each item, so many that one at least is in a document that
-    has the needed share of them. Windows that many items have are probed last."""
-    windows = items.select(
-        "item_id",
-        "item_tie",
-        F.size(F.array_distinct("item_hashes")).alias("n"),
-        F.posexplode("item_hashes").alias("item_at", "hash"),
+def _item_windows(items: DataFrame, rules: TemplateRules) -> DataFrame:
+    """One row for every reading of every window of the items."""
+    return (
+        items.select(
+            "item_id",
+            "item_tie",
+            "windows",
+            F.posexplode(_windows(F.col("item_words"), rules.words)).alias("item_at", "window"),
+        )
+        .withColumn("item_plain", F.xxhash64(F.transform("window", _plain)))
+        .withColumn("hash", F.explode(_readings(F.col("window"))))
+        .drop("window")
     )
+
+
+def _probes(windows: DataFrame, rules: TemplateRules) -> DataFrame:
+    """The rarest windows of each item, in every reading, so many that one at least is in a
+    document that has the needed share of them. Windows that many items have come last."""
     common = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("items"))
-    first = windows.groupBy("item_id", "item_tie", "n", "hash").agg(F.min("item_at").alias("item_at"))
-    ranked = F.sort_array(F.collect_list(F.struct("items", "hash", "item_at")))
-    needed = F.col("n") - F.ceil(F.col("n") * F.lit(rules.share)).cast("int") + 1
+    needed = F.col("windows") - F.ceil(F.col("windows") * F.lit(rules.share)).cast("int") + 1
+    # Places are counted, not different windows: a share of the places is asked for.
     return (
-        first.join(common, "hash")
-        .groupBy("item_id", "item_tie", "n")
-        .agg(ranked.alias("ranked"))
-        .select(
-            "item_id", "item_tie", F.inline(F.slice("ranked", F.lit(1), needed))
-        )
-        .drop("items")
+        windows.join(common, "hash")
+        .groupBy("item_id", "item_tie", "windows", "item_at")
+        .agg(F.sum("items").alias("items"), F.collect_set("hash").alias("hashes"))
+        .groupBy("item_id", "item_tie", "windows")
+        .agg(F.sort_array(F.collect_list(F.struct("items", "hashes", "item_at"))).alias("ranked"))
+        .select("item_id", "item_tie", F.inline(F.slice("ranked", F.lit(1), needed)))
+        .select("item_id", "item_tie", F.explode("hashes").alias("hash"))
+        .distinct()
     )
 
 
@@ -126,42 +171,44 @@ def find_contaminated(
     that hold an item of ``benchmark``, one row for each item they hold.
 
     Words become templates: numbers, names and units give way to placeholders of their
-    type. A document is a candidate if a rare template window of the item is in it. Item
-    and document are then laid side by side, at every distance at which a window matched;
-    ``found`` of the item's ``windows`` must be a share of at least ``share``. The values
-    that stand for the placeholders must go with each other: of the item's ``slots``
-    distinct values, ``consistent`` have one counterpart that has no other. ``changed``
-    counts values that differ: 0 for a verbatim copy.
+    type. A capital that begins a sentence may be a name or not, so windows match in either
+    reading. A document is a candidate if a rare template window of the item is in it. Then
+    all windows of both are matched, and item and document are laid side by side at every
+    distance at which windows match. ``found`` of the item's ``windows`` must be a share of
+    at least ``share``. The values that stand for the placeholders must go with each
+    other: of the item's ``slots`` distinct values, ``consistent`` have one counterpart that
+    has no other. ``changed`` counts values that differ: 0 for a verbatim copy.
 
     NULL texts, and items with fewer words than a window or a NULL id, match nothing. A
     NULL doc_id is kept as such. Equal rows count once; texts of one doc_id are told
     apart by ``tie``. Empty tables give no rows.
     """
     items = stage(_items(benchmark, rules), "items")
-    probes = stage(_probes(items, rules), "probes")
-    few = probes.count() <= rules.broadcast_windows
+    windows = stage(_item_windows(items, rules), "item-windows")
+    probes = stage(_probes(windows, rules), "probes")
+    few = windows.count() <= rules.broadcast_windows
     placed = F.broadcast if few else (lambda df: df)
     texts = _texts(docs)
     hits = (
         texts.select("doc_id", "tie", template_words(F.col("text")).alias("words"))
-        .withColumn("hashes", window_hashes(F.col("words"), rules.words))
+        .withColumn("windows", _windows(F.col("words"), rules.words))
         # The outer form lets Spark infer no filter on the hashes, which would be pushed
         # below them and make the words anew for every window.
-        .select("doc_id", "tie", F.posexplode_outer("hashes").alias("at", "hash"))
+        .select("doc_id", "tie", F.explode_outer(F.flatten(F.transform("windows", _readings))).alias("hash"))
         .join(placed(probes), "hash")
-        .select("doc_id", "tie", "item_id", "item_tie", (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("doc_id", "tie", "item_id", "item_tie")
         .distinct()
     )
     # No more than a document has windows, and only for documents with a rare window.
     wanted = stage(
         hits.groupBy("doc_id", "tie").agg(
-            F.collect_list(F.struct("item_id", "item_tie", "shift")).alias("wanted")
+            F.collect_list(F.struct("item_id", "item_tie")).alias("wanted")
         ),
         "candidates",
     )
     same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tie") == F.col("w.tie"))
     text = F.col("d.text")
-    laid = (
+    found = (
         texts.distinct().alias("d")
         .join(wanted.alias("w"), same)
         .select(
@@ -171,60 +218,155 @@ def find_contaminated(
             template_words(text).alias("words"),
             "w.wanted",
         )
-        .withColumn("hashes", window_hashes(F.col("words"), rules.words))
-        .select("doc_id", "tie", "raw", "hashes", F.inline("wanted"))
-        .join(placed(items), ["item_id", "item_tie"])
+        .withColumn("windows", _windows(F.col("words"), rules.words))
+        .withColumn("values", _windows(F.col("raw"), rules.words))
+        .select("doc_id", "tie", "wanted", F.posexplode(F.arrays_zip("windows", "values")).alias("at", "both"))
+        .select(
+            "doc_id",
+            "tie",
+            "wanted",
+            "at",
+            F.col("both.values").alias("values"),
+            F.xxhash64(F.transform("both.windows", _plain)).alias("plain"),
+            F.explode_outer(_readings(F.col("both.windows"))).alias("hash"),
+        )
+        .select("doc_id", "tie", "at", "values", "plain", "hash", F.inline("wanted"))
+        .join(placed(windows), ["item_id", "item_tie", "hash"])
     )
-    return _judged(laid, rules)
+    return _judged(found, items, placed, rules)
 
 
-def _judged(laid: DataFrame, rules: TemplateRules) -> DataFrame:
-    n = F.size("item_hashes")
-    shift, hashes, item_hashes = F.col("shift"), F.col("hashes"), F.col("item_hashes")
-    matched = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.get(hashes, i + shift).eqNullSafe(F.get(item_hashes, i)),
-    )
-    covered = F.array_distinct(
-        F.flatten(
-            F.transform("matched", lambda i: F.sequence(i, i + F.lit(rules.words - 1)))
+_PAIR = ["doc_id", "tie", "item_id", "item_tie"]
+
+
+def _copies(found: DataFrame) -> DataFrame:
+    """For each pair of document and item, and each reading, the places that may be one
+    copy of the item: the distances at which to lay it, nearest to the copy's own first, with
+    the windows matched there."""
+    by_shift = (
+        found.withColumn("shift", F.col("at") - F.col("item_at"))
+        .groupBy(*_PAIR, "windows", "shift")
+        .agg(
+            F.collect_set(F.struct("item_at", "values")).alias("named"),
+            F.collect_set(
+                F.when(F.col("plain") == F.col("item_plain"), F.struct("item_at", "values"))
+            ).alias("strict"),
         )
     )
-    slots = F.filter("covered", lambda i: F.get("item_words", i).isin(NUMBER, NAME, UNIT))
+    shifts = stage(
+        by_shift.select(
+            *_PAIR,
+            "windows",
+            "shift",
+            F.inline(
+                F.array(
+                    F.struct(F.lit(True).alias("plain"), F.col("strict").alias("matched")),
+                    F.struct(F.lit(False).alias("plain"), F.col("named").alias("matched")),
+                )
+            ),
+        ).where(F.size("matched") > 0),
+        "shifts",
+    )
+    # A window by chance is no copy, but what is next to a copy is part of it.
+    strong = (F.size("matched") >= 3) | (F.size("matched") * 2 >= F.col("windows"))
+    whole = [*_PAIR, "plain", "windows"]
+    place = F.struct("shift", "matched")
+    # Half an item's length: never two copies that follow one another.
+    order = F.floor(F.col("shift") * 1000 / F.col("windows"))
+    near = Window.partitionBy(*whole).orderBy(order).rangeBetween(-500, 500)
+    alone = shifts.where(strong).select(*whole, "shift", F.array(place).alias("places"))
+    close = (
+        shifts.withColumn("places", F.collect_list(place).over(near))
+        .where(strong)
+        .select(*whole, "shift", "places")
+    )
+    # However long what is put in between.
+    most = F.max_by("shift", F.struct(F.size("matched"), -F.col("shift"))).alias("shift")
+    pooled = shifts.where(strong).groupBy(*whole).agg(most, F.collect_list(place).alias("places"))
+    several = F.size("places") > 1
+    distance = lambda p: F.struct(F.abs(p["shift"] - F.col("shift")).alias("off"), p["shift"], p["matched"])
+    return (
+        alone.unionAll(close.where(several))
+        .unionAll(pooled.where(several).select(alone.columns))
+        .withColumn("places", F.sort_array(F.transform("places", distance)))
+    )
+
+
+def _judged(found: DataFrame, items: DataFrame, placed, rules: TemplateRules) -> DataFrame:
+    n = F.lit(rules.words)
+
+    def value(p: Column) -> Column:
+        """The document's word for the item's word ``p``, at the nearest place that has it."""
+        covering = F.flatten(
+            F.transform(
+                "places",
+                lambda place: F.filter(
+                    place["matched"], lambda m: (m["item_at"] <= p) & (p < m["item_at"] + n)
+                ),
+            )
+        )
+        first = F.get(covering, F.lit(0))
+        return F.get(first["values"], p - first["item_at"])
+
+    def is_slot(p: Column) -> Column:
+        word = F.get("item_words", p)
+        return word.isin(NUMBER, NAME, UNIT) | (~F.col("plain") & word.startswith(MAYBE))
+
+    positions = F.sequence(F.lit(0), F.size("item_words") - 1)
     values = F.transform(
-        slots,
-        lambda i: F.struct(
-            F.get("item_raw", i).alias("item"), F.get("raw", i + shift).alias("doc")
+        F.filter(positions, is_slot),
+        lambda p: F.struct(
+            F.get("item_raw", p).alias("item"),
+            value(p).alias("doc"),
+            F.get("item_words", p).startswith(MAYBE).alias("maybe"),
         ),
     )
     pairs = (
-        laid.withColumn("matched", matched)
-        # A window by chance says nothing about the values.
-        .where((F.size("matched") >= 3) | (F.size("matched") * 2 >= n))
-        .withColumn("covered", covered)
-        .groupBy("doc_id", "tie", "item_id", "item_tie")
-        .agg(
-            F.first(n).alias("windows"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("matched")))).alias("found"),
-            F.array_distinct(F.flatten(F.collect_list(values))).alias("values"),
+        _copies(found)
+        .withColumn(
+            "found",
+            F.size(
+                F.array_distinct(
+                    F.flatten(F.transform("places", lambda x: x["matched"]["item_at"]))
+                )
+            ),
         )
+        .where(F.col("found") >= F.ceil(F.col("windows") * F.lit(rules.share)))
+        .join(placed(items.drop("windows")), ["item_id", "item_tie"])
+        .withColumn("values", F.filter(values, lambda v: v["doc"].isNotNull()))
+    )
+    # A sentence's first word that stays as it is need not be a name.
+    named = F.filter("values", lambda v: ~v["maybe"] | (v["item"] != v["doc"]))
+    keys = F.array_distinct(F.transform(named, lambda v: v["item"]))
+    distinct = F.array_distinct(
+        F.transform("values", lambda v: F.struct(v["item"].alias("item"), v["doc"].alias("doc")))
     )
-    keys = F.array_distinct(F.transform("values", lambda v: v["item"]))
 
     def alone(key: Column) -> Column:
         own = F.filter("values", lambda v: v["item"] == key)
         back = F.filter("values", lambda v: v["doc"] == own[0]["doc"])
         return (F.size(own) == 1) & (F.size(back) == 1)
 
+    best = F.struct("found", (-F.col("changed")).alias("same"), "slots", "consistent", "windows")
     return (
-        pairs.withColumn("slots", F.size(keys))
-        .withColumn("consistent", F.size(F.filter(keys, alone)))
+        pairs.withColumn("keys", keys)
+        .withColumn("values", distinct)
+        .withColumn("slots", F.size("keys"))
+        .withColumn("consistent", F.size(F.filter("keys", alone)))
         .withColumn("changed", F.size(F.filter("values", lambda v: v["item"] != v["doc"])))
-        .where(
-            (F.col("found") >= F.ceil(F.col("windows") * F.lit(rules.share)))
-            & (F.col("consistent") >= F.ceil(F.col("slots") * F.lit(rules.consistent)))
+        .where(F.col("consistent") >= F.ceil(F.col("slots") * F.lit(rules.consistent)))
+        .groupBy(*_PAIR)
+        .agg(F.max(best).alias("best"))
+        .select(
+            "doc_id",
+            "tie",
+            "item_id",
+            "best.windows",
+            "best.found",
+            "best.slots",
+            "best.consistent",
+            (-F.col("best.same")).alias("changed"),
         )
-        .select("doc_id", "tie", "item_id", "windows", "found", "slots", "consistent", "changed")
     )
 
 

@@ -556,3 +556,29 @@ def test_many_documents_with_one_item(spark):
     benchmark = spark.createDataFrame([(i, f"{ITEM} version {i} of it") for i in range(20)], "item_id long, text string")
     out = contamination.find_contaminated(frame(spark, docs), benchmark)
     assert out.select("doc_id").distinct().count() == 300
+
+
+WORD_PROBLEM = "Tom has 5 apples. Anna buys 12 pears. Tom gives Anna 3 of them. How many apples does Tom have now?"
+
+
+def with_values(text, *values):
+    for old, new in zip(("Tom", "Anna", "12", "5", "3"), values):
+        text = re.sub(rf"\b{old}", new, text)
+    return text
+
+
+def holding(spark, docs, items):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = contamination.find_contaminated(frame(spark, enumerate(docs)), benchmark)
+    return bag((r.doc_id, r.item_id) for r in found.collect())
+
+
+def test_names_that_begin_sentences_and_numbers_with_letters(spark):
+    other = with_values(WORD_PROBLEM, "Max", "Rosa", "10", "7", "4")
+    run = "she ran 5km in 20min and then came 3rd of all the people who were there"
+    docs = [other, f'Read this:\n"{other}"', f"({other})", "sentence. " + other.replace(". How", ", how"),
+            run.replace("5km", "8km").replace("20min", "31min").replace("3rd", "4th"),
+            run.replace("5km", "8 km").replace("20min", "31 min"),
+            "Max sees 7 birds. Rosa sells 10 cars. Max knows Rosa 4 years. Why many apples does Max have now?",
+            other.replace("Max gives", "Leo gives").replace("gives Rosa", "gives Max"), run.upper()]
+    assert holding(spark, docs, [WORD_PROBLEM, run]) == bag([(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1)])
