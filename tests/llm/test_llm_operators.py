@@ -582,3 +582,11 @@ def test_names_that_begin_sentences_and_numbers_with_letters(spark):
             "Max sees 7 birds. Rosa sells 10 cars. Max knows Rosa 4 years. Why many apples does Max have now?",
             other.replace("Max gives", "Leo gives").replace("gives Rosa", "gives Max"), run.upper()]
     assert holding(spark, docs, [WORD_PROBLEM, run]) == bag([(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1)])
+
+
+def test_each_copy_is_judged_by_itself(spark):
+    one, two = ITEM.replace("5", "8").replace("Anna", "Rosa"), ITEM.replace("5", "6").replace("12", "40")
+    mixed = one.replace("buys 8", "buys 9").replace("3 dollars", "9 euros").replace("12 kg", "9 lb")
+    far = " und so weiter" * 40
+    docs = [one, ITEM, f"{one}\n{two}", f"{ITEM}\n{one}", f"{one}{far}\n{two}{far}\n{ITEM}", f"{mixed}{far}\n{mixed}"]
+    assert holding(spark, docs, [ITEM]) == bag((i, 0) for i in range(5))
