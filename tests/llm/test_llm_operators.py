@@ -590,3 +590,17 @@ def test_each_copy_is_judged_by_itself(spark):
     far = " und so weiter" * 40
     docs = [one, ITEM, f"{one}\n{two}", f"{ITEM}\n{one}", f"{one}{far}\n{two}{far}\n{ITEM}", f"{mixed}{far}\n{mixed}"]
     assert holding(spark, docs, [ITEM]) == bag((i, 0) for i in range(5))
+
+
+def test_a_word_put_in_or_left_out_anywhere(spark):
+    words = [a + b for a in "abcdef" for b in "vwxyz"]
+    docs = [" ".join([*words[:i], "extra", *words[i:]]) for i in range(31)]
+    docs += [" ".join([*words[:i], *words[i + 1 :]]) for i in range(30)]
+    docs += [" ".join([*words[:12], *["far"] * 100, *words[12:]])]
+    assert holding(spark, docs, [" ".join(words)]) == bag((i, 0) for i in range(62))
+
+
+def test_items_of_repeated_windows_have_enough_probes(spark):
+    part = "one two three four five six seven eight"
+    item = f"{part} {part} {part} nine ten eleven twelve"
+    assert holding(spark, [item, f"{part} {part} {part} nine", part], [item]) == bag([(0, 0), (1, 0)])
