@@ -97,10 +97,42 @@ _NEAR_COPIES = f"""
            d.doc_id = component_id AS kept
     FROM docs AS d JOIN least ON d.doc_id = a LEFT JOIN sizes AS s ON d.doc_id = s.doc_id"""
 
+_HARD_NEGATIVES = """
+    WITH ready AS (
+        SELECT row_number() OVER () AS r, vec_id,
+               CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (
+        SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS other,
+               a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+        FROM ready AS a JOIN ready AS b ON a.r <> b.r AND len(a.v) = len(b.v)
+        WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT * FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY anchor ORDER BY score DESC, other NULLS LAST) AS place
+            FROM pairs WHERE same) AS p
+        WHERE place <= 5),
+    ranked AS (
+        SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id,
+               p.score AS positive_score, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor, p.place
+                                  ORDER BY n.score DESC, n.other NULLS LAST) AS rank
+        FROM positives AS p JOIN pairs AS n
+          ON p.anchor = n.anchor AND NOT n.same
+         AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id,
+           positive_score, negative_score
+    FROM ranked WHERE rank <= 5"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_repeated_passages": _REPEATED_PASSAGES,
         "op5_repeated_strings": _REPEATED_STRINGS,
         "op6_signature_near_copies": _NEAR_COPIES,
+        "op12_slot_negatives": _HARD_NEGATIVES,
     }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import chat, contamination, near, packing, quality, secrets, sharding, substrings, suffixes, token_files
+from starweir.llm import chat, contamination, near, negatives, packing, quality, secrets, sharding
+from starweir.llm import substrings, suffixes, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
@@ -121,6 +122,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("tie")
 
 
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_feistel_shards": _op1,
@@ -133,4 +138,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_certified_packing": _op8,
         "op9_ngram_ratio_quality": _op9,
         "op10_template_decontamination": _op10,
+        "op12_slot_negatives": _op12,
     }
