@@ -17,9 +17,9 @@ from starweir.llm.text import (
     batches,
     chunks,
     mix,
-    piece_hashes,
     prefix_hashes,
     ranges,
+    string_hashes,
     utf8,
     window_hashes,
     words_of,
@@ -90,7 +90,8 @@ def _repeated_lines(data: np.ndarray, bounds: np.ndarray, words: Words, sums: np
         ends > starts
     )
     starts, ends, row = starts[kept], ends[kept], row[kept]
-    keyed = mix(piece_hashes(sums, starts, ends) + row.astype(np.uint64) * WORD_BASES[1])
+    lines = string_hashes(data, sums, starts, ends)
+    keyed = mix(lines + row.astype(np.uint64) * WORD_BASES[1])
     _, first = np.unique(keyed, return_index=True)
     again = np.ones(len(keyed), bool)
     again[first] = False
@@ -101,7 +102,7 @@ def count_chunk(data: np.ndarray, bounds: np.ndarray) -> tuple[dict, Words, np.n
     """The counts of each text, its words and their hashes."""
     words = words_of(data, bounds)
     sums = prefix_hashes(data)
-    hashes = piece_hashes(sums, words.starts, words.ends)
+    hashes = string_hashes(data, sums, words.starts, words.ends)
     points = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=points[1:])
     counts = {

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import chat, contamination, near, negatives, packing, quality, secrets, sharding
-from starweir.llm import substrings, suffixes, token_files
+from starweir.llm import chat, contamination, near, negatives, packing, quality, reuse, secrets
+from starweir.llm import sharding, substrings, suffixes, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
@@ -126,6 +126,17 @@ def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
 
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = reuse.encode_documents(_documents(spark, sf_dir), WORD_VOCABULARY, decoded=True)
+    decimal = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_feistel_shards": _op1,
@@ -139,4 +150,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_ratio_quality": _op9,
         "op10_template_decontamination": _op10,
         "op12_slot_negatives": _op12,
+        "op13_chunked_encoding": _op13,
     }

@@ -8,14 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 #: Odd multipliers of the polynomial hashes, modulo 2**64.
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
+CHECK_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 WORD_BASES = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
+#: Pieces up to this length are hashed by polynomials.
+LONG_BYTES = 256
+
 #: Bytes handled at once; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 
@@ -65,19 +70,38 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE_VALUE[data]
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
+def prefix_hashes(data: np.ndarray, base: np.uint64 = BYTE_BASE) -> np.ndarray:
     """n + 1 sums; two of them give the hash of any piece of ``data``."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * _table(BYTE_BASE, len(data)), out=sums[1:])
+    np.cumsum(_BYTE_VALUE[data] * _table(base, len(data)), out=sums[1:])
     return sums
 
 
-def piece_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of data[starts:ends], equal for equal bytes wherever they stand."""
-    back = _table(inverse(BYTE_BASE), len(sums))
+def piece_hashes(
+    sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = BYTE_BASE
+) -> np.ndarray:
+    """Hashes of data[starts:ends], equal for equal bytes wherever they stand. For pieces of
+    up to ``LONG_BYTES`` only: see :func:`string_hashes`."""
+    back = _table(inverse(base), len(sums))
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
+def string_hashes(
+    data: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = BYTE_BASE
+) -> np.ndarray:
+    """Hashes of data[starts:ends] of any length, by the sums of the same ``base``.
+
+    Modulo 2**64, any polynomial takes certain unlike strings of a thousand letters or more
+    for equal. Long pieces have a cryptographic hash instead; there are few of them.
+    """
+    out = piece_hashes(sums, starts, ends, base)
+    key = int(base).to_bytes(8, "little")
+    for i in np.flatnonzero(ends - starts > LONG_BYTES).tolist():
+        digest = blake2b(data[starts[i] : ends[i]], digest_size=8, key=key).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
 def window_hashes(items: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
     """Rabin-Karp hash of every ``length`` consecutive items, modulo 2**64.
 
@@ -130,7 +154,7 @@ class Words:
     first: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        return piece_hashes(prefix_hashes(self.data), self.starts, self.ends)
+        return string_hashes(self.data, prefix_hashes(self.data), self.starts, self.ends)
 
 
 def words_of(data: np.ndarray, bounds: np.ndarray) -> Words:

@@ -15,10 +15,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from starweir.llm.text import chunks, mix, piece_hashes, prefix_hashes, ranges, utf8, words_of
+from starweir.llm.text import CHECK_BASE, chunks, mix, prefix_hashes, ranges, string_hashes, utf8
+from starweir.llm.text import words_of
 
 #: Pieces remembered by a worker by their hashes; beyond, it starts anew.
-CACHED_PIECES = 4_000_000
+CACHED_PIECES = 3_000_000
 #: Words and endings remembered as such, to put new pieces together.
 CACHED_WORDS = 100_000
 #: Pieces given to the tokenizer at once; what it returns for each is large.
@@ -37,13 +38,22 @@ def vocabulary_path(name: str) -> str:
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    """Encodes by the vocabulary at ``path``.
+
+    With ``plain`` the strings of special tokens are text like any other. With
+    ``blank_before`` every text is taken with a blank before it.
+    """
+
+    def __init__(self, path: str, plain: bool = False, blank_before: bool = False) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
+        self.blank_before = blank_before
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [] if plain else [t.content for t in added]
         size = max(vocabulary.values()) + 1
         ends = np.zeros(size, bool)
         starts = np.zeros(size, bool)
@@ -62,6 +72,7 @@ class Encoder:
         self.hashes = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int32)
+        self.checks = np.zeros(0, np.uint64)
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.words: dict[str, list[int]] = {}
@@ -122,7 +133,9 @@ class Encoder:
             return [*self._parts(core, first), piece[len(core) :]]
         return [blank + piece]
 
-    def _learn(self, hashes: np.ndarray, pieces: list[tuple[str, bool]]) -> None:
+    def _learn(
+        self, hashes: np.ndarray, checks: np.ndarray, pieces: list[tuple[str, bool]]
+    ) -> None:
         """Remember new pieces, given with whether they are first."""
         if len(self.words) > CACHED_WORDS:
             self.words = {}
@@ -138,11 +151,12 @@ class Encoder:
         places = np.searchsorted(self.hashes, hashes)
         self.at = np.insert(self.at, places, at + np.cumsum(lengths, dtype=np.int64) - lengths)
         self.lengths = np.insert(self.lengths, places, lengths)
+        self.checks = np.insert(self.checks, places, checks)
         self.hashes = np.insert(self.hashes, places, hashes)
 
     def _cut(self, data: np.ndarray, bounds: np.ndarray):
-        """Starts and ends of the pieces, the first one of each row, and their hashes."""
-        starts, ends, first, hashes = [], [], [np.zeros(1, np.int64)], []
+        """Starts and ends of the pieces, the first one of each row, and two hashes of each."""
+        starts, ends, first, hashes, checks = [], [], [np.zeros(1, np.int64)], [], []
         number = 0
         for at, end in chunks(bounds):
             low = bounds[at]
@@ -160,16 +174,18 @@ class Encoder:
             ends.append(e + low)
             first.append(f[1:] + number)
             number += len(s)
-            hashes.append(piece_hashes(prefix_hashes(piece), s, e))
+            hashes.append(string_hashes(piece, prefix_hashes(piece), s, e))
+            sums = prefix_hashes(piece, CHECK_BASE)
+            checks.append(string_hashes(piece, sums, s, e, CHECK_BASE))
         if not hashes:
             none = np.zeros(0, np.int64)
-            return none, none, np.zeros(1, np.int64), none.astype(np.uint64)
-        return (*map(np.concatenate, (starts, ends, first, hashes)),)
+            return none, none, np.zeros(1, np.int64), none.view(np.uint64), none.view(np.uint64)
+        return (*map(np.concatenate, (starts, ends, first, hashes, checks)),)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, NULL as empty, and the bounds of the rows' ids."""
         data, rows = utf8(column)
-        starts, ends, bounds, hashes = self._cut(data, rows)
+        starts, ends, bounds, hashes, checks = self._cut(data, rows)
         if len(self.hashes) > CACHED_PIECES:
             self._forget()
         whole = np.zeros(0, np.int64)
@@ -179,13 +195,15 @@ class Encoder:
             odd = np.flatnonzero(_begins_blank(data, starts, ends))
             whole = np.unique(np.searchsorted(bounds, odd, "right") - 1)
             whole = whole[np.diff(bounds)[whole] > 1]
-            first[bounds[:-1]] = True
-            hashes = np.where(first, mix(hashes), hashes)
+            if not self.blank_before:
+                first[bounds[:-1]] = True
+                hashes = np.where(first, mix(hashes), hashes)
             keep = np.ones(len(rows) - 1, bool)
             keep[whole] = False
             keep = np.repeat(keep, np.diff(bounds))
             bounds = np.concatenate([[0], np.cumsum(keep)])[bounds]
-            starts, ends, first, hashes = starts[keep], ends[keep], first[keep], hashes[keep]
+            starts, ends, first = starts[keep], ends[keep], first[keep]
+            hashes, checks = hashes[keep], checks[keep]
         codes, different = pd.factorize(hashes)
         places = np.searchsorted(self.hashes, different)
         known = places < len(self.hashes)
@@ -204,8 +222,12 @@ class Encoder:
                         starts[at[few]].tolist(), ends[at[few]].tolist(), first[at[few]].tolist()
                     )
                 ]
-                self._learn(different[new[few]], words)
+                self._learn(different[new[few]], checks[at[few]], words)
             places = np.searchsorted(self.hashes, different)
+        if len(codes):
+            # Two pieces with one hash: their rows are encoded whole.
+            unlike = np.flatnonzero(self.checks[places][codes] != checks)
+            whole = np.union1d(whole, _rows_of(unlike, bounds))
         lengths = self.lengths[places][codes].astype(np.int64)
         ids = self.pool[ranges(self.at[places][codes], lengths)]
         out_bounds = np.concatenate([[0], np.cumsum(lengths)])[bounds]
@@ -213,14 +235,23 @@ class Encoder:
             return self._insert(column, whole, ids, out_bounds)
         return ids, out_bounds
 
+    def _encode_whole(self, texts: list[str]) -> list[np.ndarray]:
+        blank = " " if self.blank_before else ""
+        texts = [blank + t for t in texts]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
     def _insert(self, column, whole, ids, bounds):
         texts = [t or "" for t in column.take(pa.array(whole)).to_pylist()]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        own = dict(zip(whole.tolist(), (np.array(e.ids, np.uint32) for e in found)))
+        own = dict(zip(whole.tolist(), self._encode_whole(texts)))
         rows = [own.get(i, ids[bounds[i] : bounds[i + 1]]) for i in range(len(bounds) - 1)]
         return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
 
 
+def _rows_of(pieces: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.unique(np.searchsorted(bounds, pieces, "right") - 1)
+
+
 def _begins_blank(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Pieces that are empty or begin with what may be white space."""
     room = np.concatenate([data, np.zeros(2, np.uint8)])
