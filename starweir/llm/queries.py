@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweir.llm import chat, contamination, near, negatives, packing, quality, reuse, secrets
-from starweir.llm import sharding, substrings, suffixes, token_files
+from starweir.llm import alignment, chat, contamination, near, negatives, packing, quality, reuse
+from starweir.llm import secrets, sharding, substrings, suffixes, token_files
 from starweir.llm.shipping import ship
 from starweir.staging import scratch_path
 
 SHARDS = 8
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
 BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 0
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 SEQUENCE_TOKENS = 2048
 
 
@@ -122,6 +123,16 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("tie")
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align_documents(
+        _documents(spark, sf_dir), BYTE_VOCABULARY, PIECE_VOCABULARY
+    )
+    digest = F.sha2(F.col("groups").cast("binary"), 256)
+    return aligned.withColumn(
+        "groups_sha256", F.when(F.col("groups") == "", "").otherwise(digest)
+    ).drop("groups")
+
+
 def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
@@ -149,6 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_certified_packing": _op8,
         "op9_ngram_ratio_quality": _op9,
         "op10_template_decontamination": _op10,
+        "op11_pair_alignment": _op11,
         "op12_slot_negatives": _op12,
         "op13_chunked_encoding": _op13,
     }
