@@ -63,12 +63,8 @@ class PieceEncoder(Encoder):
         self.hashes = np.zeros(0, np.uint64)
         self._forget()
 
-    def _parts(self, piece: str, first: bool) -> list[str]:
-        return [piece]
-
-    def _encode(self, pieces: list[str]) -> None:
-        for piece, ids in zip(pieces, self.pieces.encode(pieces, num_threads=1)):
-            self.words[piece] = ids
+    def _learn(self, hashes: np.ndarray, checks: np.ndarray, pieces: list[tuple[str, bool]]) -> None:
+        self._remember(hashes, checks, self.pieces.encode([p for p, _ in pieces], num_threads=1))
 
     def _encode_whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(i, np.uint32) for i in self.pieces.encode(texts, num_threads=1)]
@@ -146,7 +142,8 @@ class Aligned:
     """The tokens of some texts, one after the other, and where they share bytes.
 
     ``a`` and ``b`` are ids with the bounds of each text's; ``end_a`` and ``end_b`` say at
-    which byte each ends. ``link_a`` and ``link_b`` are the tokens of each link, with the
+    which byte each ends, ``before_a`` and ``before_b`` how many end before each byte.
+    ``link_a`` and ``link_b`` are the tokens of each link, with the
     bounds of each text's links; ``cuts`` are the bytes at which groups end.
     """
 
@@ -156,6 +153,8 @@ class Aligned:
     b_bounds: np.ndarray
     end_a: np.ndarray
     end_b: np.ndarray
+    before_a: np.ndarray
+    before_b: np.ndarray
     link_a: np.ndarray
     link_b: np.ndarray
     link_bounds: np.ndarray
@@ -205,7 +204,7 @@ def align(column: pa.Array, a: str, b: str) -> Aligned:
     is_a[end_a], is_b[end_b] = True, True
     # Between two neighbouring ends lies one overlap of one token of each.
     ends = np.flatnonzero(is_a | is_b)
-    link_a, link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+    before_a, before_b = _before(is_a), _before(is_b)
     text_ends = np.concatenate([[0], np.cumsum(np.where(good, size + 1, 0))])
     cuts = np.flatnonzero(is_a & is_b)
     return Aligned(
@@ -215,14 +214,23 @@ def align(column: pa.Array, a: str, b: str) -> Aligned:
         bounds_b,
         end_a,
         end_b,
-        link_a,
-        link_b,
+        before_a,
+        before_b,
+        before_a[ends],
+        before_b[ends],
         np.searchsorted(ends, text_ends, "right"),
         cuts,
         np.searchsorted(cuts, text_ends, "right"),
     )
 
 
+def _before(marks: np.ndarray) -> np.ndarray:
+    """How many marks come before each place."""
+    out = np.zeros(len(marks) + 1, np.int64)
+    np.cumsum(marks, out=out[1:])
+    return out
+
+
 def _starts(lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(lengths) - lengths
 
@@ -230,8 +238,10 @@ def _starts(lengths: np.ndarray) -> np.ndarray:
 def group_strings(found: Aligned, a: str, b: str) -> pa.Array:
     """``a1,a2|b1;a3|b2,b3`` for each text: the ids of its groups."""
     left, right = sides(a, b)
-    group_a = np.searchsorted(found.cuts, found.end_a)
-    group_b = np.searchsorted(found.cuts, found.end_b)
+    is_cut = np.zeros(len(found.before_a), bool)
+    is_cut[found.cuts] = True
+    group = _before(is_cut)
+    group_a, group_b = group[found.end_a], group[found.end_b]
     last_a = np.ones(len(found.a), bool)
     last_a[:-1] = group_a[1:] != group_a[:-1]
     last_b = np.ones(len(found.b), bool)
@@ -241,8 +251,9 @@ def group_strings(found: Aligned, a: str, b: str) -> pa.Array:
     mark_a = np.where(last_a, 1, 0)
     mark_b = np.where(final[:-1], 3, np.where(last_b, 2, 0))
     # An A token comes after the B tokens of earlier groups, a B token after all of its group's A.
-    place_a = np.arange(len(found.a)) + np.searchsorted(group_b, group_a)
-    place_b = np.arange(len(found.b)) + np.searchsorted(group_a, group_b, "right")
+    until_a, until_b = found.before_a[found.cuts + 1], found.before_b[found.cuts + 1]
+    place_a = np.arange(len(found.a)) + np.concatenate([[0], until_b])[group_a]
+    place_b = np.arange(len(found.b)) + until_a[group_b]
     which = np.empty(len(found.a) + len(found.b), np.int64)
     which[place_a] = 4 * found.a.astype(np.int64) + mark_a
     which[place_b] = 4 * found.b.astype(np.int64) + mark_b + len(left.marked)

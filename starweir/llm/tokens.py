@@ -144,7 +144,13 @@ class Encoder:
         if missing:
             self._encode(missing)
         words = self.words
-        found = [words[own[0]] if len(own) == 1 else [i for p in own for i in words[p]] for own in parts]
+        self._remember(
+            hashes,
+            checks,
+            [words[own[0]] if len(own) == 1 else [i for p in own for i in words[p]] for own in parts],
+        )
+
+    def _remember(self, hashes: np.ndarray, checks: np.ndarray, found: list[list[int]]) -> None:
         lengths = np.fromiter(map(len, found), np.int32, len(found))
         total = int(lengths.sum())
         at = self._store(np.fromiter(chain.from_iterable(found), np.uint32, total))
@@ -205,6 +211,12 @@ class Encoder:
             starts, ends, first = starts[keep], ends[keep], first[keep]
             hashes, checks = hashes[keep], checks[keep]
         codes, different = pd.factorize(hashes)
+        # In order, since many steps through a large table are quicker so.
+        order = np.argsort(different)
+        different = different[order]
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        codes = rank[codes]
         places = np.searchsorted(self.hashes, different)
         known = places < len(self.hashes)
         known[known] = self.hashes[places[known]] == different[known]
@@ -212,7 +224,6 @@ class Encoder:
             seen = np.zeros(len(different), np.int64)
             seen[codes[::-1]] = np.arange(len(codes))[::-1]
             new = np.flatnonzero(~known)
-            new = new[np.argsort(different[new])]
             at = seen[new]
             text = data.tobytes()
             for few in np.array_split(np.arange(len(new)), len(new) // LEARNT_PIECES + 1):
