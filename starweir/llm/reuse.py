@@ -38,9 +38,9 @@ class ReuseRules:
     most_bytes: int = 16_384
     #: Chunks encoded once for all tasks, those that save most. Further shared chunks are
     #: encoded once by each worker that meets them; the ids are the same.
-    dictionary_chunks: int = 16_384
+    dictionary_chunks: int = 8_192
     #: Ids of chunks that a worker remembers; beyond, it starts anew.
-    remembered_ids: int = 8_000_000
+    remembered_ids: int = 2_000_000
 
 
 def rolling_hashes(data: np.ndarray) -> np.ndarray:
@@ -153,14 +153,15 @@ class Memory:
         place = np.empty(len(codes) + len(join_starts), bool)
         place[:] = False
         place[2 * core + document + 1] = True
-        source = np.empty(len(place), np.int64)
         length = np.empty(len(place), np.int64)
-        source[place], length[place] = self.at[codes] + len(joined), self.lengths[codes]
-        source[~place], length[~place] = edges[:-1], np.diff(edges)
-        pool = np.concatenate([joined.astype(np.uint32), self.pool])
+        length[place], length[~place] = self.lengths[codes], np.diff(edges)
         out_bounds = np.zeros(len(place) + 1, np.int64)
         np.cumsum(length, out=out_bounds[1:])
-        return pool[ranges(source, length)], out_bounds[2 * own + np.arange(len(bounds))]
+        reused = np.repeat(place, length)
+        ids = np.empty(len(reused), np.uint32)
+        ids[reused] = self.pool[ranges(self.at[codes], self.lengths[codes])]
+        ids[~reused] = joined
+        return ids, out_bounds[2 * own + np.arange(len(bounds))]
 
 
 def _count(rules: ReuseRules):
