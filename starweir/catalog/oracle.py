@@ -399,7 +399,16 @@ def oracle_sql() -> dict[str, str]:
                    round(p_retailprice, 2) AS price
             FROM part""",
         "csv_land_raw": _count_all(
-            _TABLES[:8] + ["labels"], ", 'loaded' AS status, CAST(0 AS BIGINT) AS malformed"
+            _TABLES, ", 'loaded' AS status, CAST(0 AS BIGINT) AS malformed"
+        ),
+        "csv_land_texts": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key, md5({text}) AS text_md5 FROM {name}"
+            for name, key, text in (
+                ("documents", "doc_id", "text"),
+                ("pages", "page_id", "html"),
+                ("benchmark", "item_id", "text"),
+                ("conversations", "conv_id || ':' || turn", "text"),
+            )
         ),
         "ingest_all": _count_all(_TABLES, ", 'loaded' AS status"),
         "ingest_summary": f"""

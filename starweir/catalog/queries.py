@@ -7,8 +7,8 @@ BIGINT, dates as text, quotients rounded.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
-from functools import partial
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +48,7 @@ from starweir.plans.run import CRM_TABLES, ERP_TABLES, Layers, RunResult, cleans
 from starweir.plans.star import build_dim_customer, build_dim_product, build_fact_sales, build_star
 from starweir.plans.warehouse import FolderWarehouse, load_warehouse
 from starweir.sources import (
+    Dialect,
     import_delimited,
     ingest_summary,
     ingest_tables,
@@ -485,13 +486,47 @@ def csv_declared_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_delimited(spark, path, names, assigned)
 
 
+#: Quotes in quoted values are doubled.
+DOUBLED = Dialect(escape='"')
+
+
+def _landed(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> tuple[DataFrame, str]:
+    """The named tables as CSV, landed: the report, and the raw layer."""
+    root = scratch_path(spark, "land")
+
+    def export(name: str) -> None:
+        source = table(spark, sf_dir, name)
+        arrays = [f.name for f in source.schema if isinstance(f.dataType, T.ArrayType)]
+        texts = source.withColumns({c: F.col(c).cast("string") for c in arrays})
+        write_table(texts, f"{root}/source/{name}.csv", "csv", **KEEP_BLANKS, **DOUBLED.options())
+
+    at_once([partial(export, name) for name in names])
+    return land_csv_folder(spark, f"{root}/source", f"{root}/raw", dialect=DOUBLED), f"{root}/raw"
+
+
 @_query
 def csv_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "land")
-    # The other tables hold arrays, or texts with line breaks.
-    for name in (*TABLES[:8], "labels"):
-        write_table(table(spark, sf_dir, name), f"{root}/source/{name}.csv", "csv")
-    return land_csv_folder(spark, f"{root}/source", f"{root}/raw").drop("message")
+    return _landed(spark, sf_dir, TABLES)[0].drop("message")
+
+
+@_query
+def csv_land_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was landed of the tables whose texts have line breaks, quotes and commas."""
+    keys = {
+        "documents": "doc_id",
+        "pages": "page_id",
+        "benchmark": "item_id",
+        "conversations": "concat(conv_id, ':', turn)",
+    }
+    _, raw = _landed(spark, sf_dir, list(keys))
+    texts = {"pages": "html"}
+    parts = [
+        read_table(spark, f"{raw}/{name}").selectExpr(
+            f"'{name}' AS table_name", f"{key} AS key", f"md5({texts.get(name, 'text')}) AS text_md5"
+        )
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query

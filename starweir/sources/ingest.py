@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from starweir.jobs import at_once
 from starweir.sources.files import read_csv, write_table
+from starweir.sources.records import Dialect, csv_records, has_open_lines, parse_records
 
 MALFORMED = "_malformed"
 RESULT = "table_name string, row_count bigint, status string, message string"
@@ -65,14 +66,22 @@ def ingest_summary(result: DataFrame) -> DataFrame:
 
 
 def land_csv_folder(
-    spark: SparkSession, folder: str, root: str, format: str = "parquet"
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    format: str = "parquet",
+    dialect: Dialect = Dialect(),
 ) -> DataFrame:
     """Copy every ``*.csv`` of ``folder``, a file or a folder of part files, to
     the raw layer, one table each, named by what precedes ``.csv``.
 
-    Values stay the text they are. A line with more or fewer fields than the header
-    keeps those that it has, and its whole text goes to ``<root>_malformed/<name>``.
-    Returns what ingest_tables returns and the number of such lines, ``malformed``.
+    Values stay the text they are, with line breaks and quotes of ``dialect`` in them. A
+    record with more or fewer fields than the header keeps those that it has, and its whole
+    text goes to ``<root>_malformed/<name>``. Returns what ingest_tables returns and the
+    number of such records, ``malformed``.
+
+    Tables without line breaks in values are read line by line. The others are cut into
+    records first, with the text written and shuffled once.
     """
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.csv")
     files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -80,21 +89,28 @@ def land_csv_folder(
     paths = {path.getName().removesuffix(".csv"): path.toString() for path in entries}
     names = sorted(paths)
     seen = {name: Observation() for name in names}
-
-    def lines(name: str) -> DataFrame:
-        columns = read_csv(spark, paths[name]).columns
+    broken: dict[str, DataFrame] = {}
+
+    def rows(name: str, file: str | None = None) -> DataFrame:
+        columns = read_csv(spark, paths[name], **dialect.options()).columns
+        if name not in broken and has_open_lines(spark, paths[name], dialect):
+            broken[name] = csv_records(spark, paths[name], dialect)
+        if name in broken:
+            return parse_records(broken[name], columns, MALFORMED, dialect, file)
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, MALFORMED]])
-        return read_csv(spark, paths[name], schema, columnNameOfCorruptRecord=MALFORMED)
+        lines = read_csv(
+            spark, paths[name], schema, columnNameOfCorruptRecord=MALFORMED, **dialect.options()
+        )
+        return lines.withColumn(file, F.input_file_name()) if file else lines
 
     def table(name: str) -> DataFrame:
         odd = F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
-        return lines(name).observe(seen[name], odd).drop(MALFORMED)
+        return rows(name).observe(seen[name], odd).drop(MALFORMED)
 
     result = ingest_tables(spark, names, table, root, format)
     counts = {name: seen[name].get["malformed"] for name in names}
     for name in (n for n in names if counts[n]):
-        bad = lines(name).withColumn("file", F.input_file_name())
-        bad = bad.where(F.col(MALFORMED).isNotNull())
+        bad = rows(name, "file").where(F.col(MALFORMED).isNotNull())
         write_table(bad, f"{root}_malformed/{name}", "parquet")
     found = spark.createDataFrame(list(counts.items()), "table_name string, malformed bigint")
     return result.join(F.broadcast(found), "table_name")
