@@ -173,7 +173,7 @@ def scd2_validity_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir).select("o_orderstatus", "o_orderkey", "o_orderdate")
     return _plain(
         validity_ranges(
-            orders, ["o_orderstatus"], "o_orderdate", "end_date", ["o_orderkey"], _twentieth(orders)
+            orders, ["o_orderstatus"], "o_orderdate", "end_date", ["o_orderkey"], partitions=20
         )
     )
 

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweir.operators.dense_keys import dense_key
+from starweir.staging import stage
 
-# Rows that one task looks at in validity_ranges.
-BLOCK_ROWS = 1_000_000
-
-_NUMBER, _BLOCK, _NEXT, _HEAD = "_number", "_number_block", "_next", "_head"
+_ORIGIN, _PART, _FIRST, _LAST = "_origin", "_part", "_first", "_last"
 
 
 def _rest(df: DataFrame, *used: str) -> list[str]:
@@ -50,38 +48,87 @@ def validity_ranges(
     start: str,
     end: str,
     tie_break: Sequence[str] | None = None,
-    block_rows: int = BLOCK_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Set ``end`` to the day before the key's next ``start``; NULL on the last.
 
     Versions of a key are ordered by ``start`` and then ``tie_break``, by default
-    all other columns. All rows are numbered in the order of key and version, so
-    that a row's successor has the next number, and are then looked at in blocks of
-    ``block_rows``. A key may have any number of rows: a block does not care where
-    one key ends, and a block's last row takes its successor from a table with the
-    first row of each block.
+    all other columns. Rows are range partitioned and sorted by key and version, so a
+    row's successor is the next row of its partition, and for the last one the first row
+    of the partition after. A key may have any number of rows: partitions do not care
+    where a key ends. Rows are shuffled and written once, and one row per partition
+    reaches the driver. ``partitions`` is the session's number of shuffle partitions
+    unless it is given.
     """
     if tie_break is None:
         tie_break = _rest(df, *keys, start, end)
     columns = df.columns if end in df.columns else [*df.columns, end]
-    numbered = dense_key(df, [*keys, start, *tie_break], _NUMBER).withColumn(
-        _BLOCK, F.expr(f"({_NUMBER} - 1) DIV {block_rows}")
-    )
-    row = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(start).alias("at"))
-    # One row for every block_rows rows.
-    heads = numbered.where((F.col(_NUMBER) - 1) % block_rows == 0).select(
-        (F.col(_BLOCK) - 1).alias(_BLOCK), row.alias(_HEAD)
-    )
-    inside = F.lead(row).over(Window.partitionBy(_BLOCK).orderBy(_NUMBER))
-    following = F.coalesce(F.col(_NEXT), F.col(_HEAD))
-    same_key = [following[f"k{i}"].eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
-    until = F.when(reduce(Column.__and__, same_key), F.date_sub(following["at"], 1))
-    return (
-        numbered.withColumn(_NEXT, inside)
-        .join(F.broadcast(heads), _BLOCK, "left")
-        .withColumn(end, until)
-        .select(*columns)
+    looked_at = [*keys, start]
+    following = [f"_next_{i}" for i in range(len(looked_at))]
+    total = [*looked_at, *tie_break, *_rest(df, *looked_at, *tie_break), _ORIGIN]
+    # Copies of a row are told apart by input partition, so that they need not stay together.
+    ordered = (
+        df.withColumn(_ORIGIN, F.spark_partition_id())
+        .repartitionByRange(*([partitions] if partitions else []), *total)
+        .sortWithinPartitions(*total)
+        .drop(_ORIGIN)
+        .withColumn(_PART, F.spark_partition_id())
     )
+    fields = [T.StructField(n, df.schema[c].dataType) for n, c in zip(following, looked_at)]
+    fields += [T.StructField(_FIRST, T.BooleanType()), T.StructField(_LAST, T.BooleanType())]
+    schema = T.StructType([*ordered.schema.fields, *fields])
+    seen = stage(ordered.mapInArrow(_with_next(looked_at, following), schema), "versions")
+
+    heads = seen.where(_FIRST).select(_PART, *looked_at).toArrow().sort_by(_PART)
+    if heads.num_rows > 1:
+        after = {_PART: heads[_PART].slice(0, heads.num_rows - 1)}
+        after |= {f"_head_{i}": heads[c].slice(1) for i, c in enumerate(looked_at)}
+        kinds = [T.StructField(_PART, T.IntegerType())]
+        kinds += [T.StructField(f"_head_{i}", f.dataType) for i, f in enumerate(fields[:-2])]
+        halo = df.sparkSession.createDataFrame(pa.table(after), T.StructType(kinds))
+        seen = seen.join(halo.withColumn(_LAST, F.lit(True)), [_PART, _LAST], "left")
+        following = [
+            F.when(F.col(_LAST), F.col(f"_head_{i}")).otherwise(F.col(name))
+            for i, name in enumerate(following)
+        ]
+    else:
+        following = [F.col(name) for name in following]
+    *next_key, next_start = following
+    same_key = [after_key.eqNullSafe(F.col(k)) for after_key, k in zip(next_key, keys)]
+    until = F.when(reduce(Column.__and__, same_key), F.date_sub(next_start, 1))
+    return seen.withColumn(end, until).select(*columns)
+
+
+def _with_next(names: Sequence[str], following: Sequence[str]):
+    """Rows with the next row's values of ``names``, NULL on a partition's last row."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, first = None, True
+
+        def out(after: pa.RecordBatch | None) -> pa.RecordBatch:
+            n = held.num_rows
+            columns = list(held.columns)
+            for name in names:
+                own = held.column(name)
+                last = pa.nulls(1, own.type) if after is None else after.column(name).slice(0, 1)
+                columns.append(pa.concat_arrays([own.slice(1), last]))
+            columns.append(pa.array([first] + [False] * (n - 1)))
+            columns.append(pa.array([False] * (n - 1) + [after is None]))
+            return pa.RecordBatch.from_arrays(
+                columns, [*held.schema.names, *following, "_first", "_last"]
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                yield out(batch)
+                first = False
+            held = batch
+        if held is not None:
+            yield out(None)
+
+    return run
 
 
 def current_version(df: DataFrame, end: str) -> DataFrame:
