@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starweir.operators.lookups import fits_in_memory
 from starweir.staging import stage
 
 NUMBER, NAME, UNIT = "#0", "#n", "#u"
@@ -46,8 +47,8 @@ class TemplateRules:
     share: float = 0.8
     #: Share of an item's slot values that must have one counterpart in the document.
     consistent: float = 0.8
-    #: Larger indexes of item windows are joined by a shuffle, not sent to every task.
-    broadcast_windows: int = 2_000_000
+    #: Larger tables of words and windows are joined by a shuffle, not sent to every task.
+    broadcast_bytes: int = 64 << 20
 
 
 def _words(text: Column) -> Column:
@@ -109,10 +110,23 @@ def _windows(words: Column, n: int) -> Column:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """What identifies a text: its doc_id, NULL or not, and a hash."""
-    return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").where(
-        F.col("text").isNotNull()
-    )
+    """The texts and what identifies them: two hashes."""
+    return docs.select(*_keys(), "text").where(F.col("text").isNotNull())
+
+
+def _keys(text: str | Column = "text") -> list[Column]:
+    return [F.xxhash64(text).alias("tie"), F.hash(text).alias("check")]
+
+
+# What :func:`template_words` deletes, and at what it may cut a word.
+_DELETED = "[#" + "".join(rf"\{c}" if c.isascii() else c for c in _PUNCTUATION) + "]+"
+_CUT = r"[ \t\n\x0B\f\r0-9]+"
+
+
+def _plain_words(text: Column) -> Column:
+    """Words of the text, among them every word of :func:`template_words` that has neither
+    digits nor placeholders; quick to tell."""
+    return F.split(F.lower(F.regexp_replace(text, _DELETED, "")), _CUT)
 
 
 def _items(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
@@ -146,24 +160,101 @@ def _item_windows(items: DataFrame, rules: TemplateRules) -> DataFrame:
     )
 
 
+def _needed(rules: TemplateRules) -> Column:
+    """So many windows of an item that one at least is in a document with the needed share.
+    Places are counted, not different windows: a share of the places is asked for."""
+    return F.col("windows") - F.ceil(F.col("windows") * F.lit(rules.share)).cast("int") + 1
+
+
 def _probes(windows: DataFrame, rules: TemplateRules) -> DataFrame:
     """The rarest windows of each item, in every reading, so many that one at least is in a
     document that has the needed share of them. Windows that many items have come last."""
     common = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("items"))
-    needed = F.col("windows") - F.ceil(F.col("windows") * F.lit(rules.share)).cast("int") + 1
-    # Places are counted, not different windows: a share of the places is asked for.
     return (
         windows.join(common, "hash")
         .groupBy("item_id", "item_tie", "windows", "item_at")
         .agg(F.sum("items").alias("items"), F.collect_set("hash").alias("hashes"))
         .groupBy("item_id", "item_tie", "windows")
         .agg(F.sort_array(F.collect_list(F.struct("items", "hashes", "item_at"))).alias("ranked"))
-        .select("item_id", "item_tie", F.inline(F.slice("ranked", F.lit(1), needed)))
+        .select("item_id", "item_tie", F.inline(F.slice("ranked", F.lit(1), _needed(rules))))
         .select("item_id", "item_tie", F.explode("hashes").alias("hash"))
         .distinct()
     )
 
 
+def _word_probes(texts: DataFrame, items: DataFrame, rules: TemplateRules) -> DataFrame:
+    """(item_id, item_tie, word): the rarest words of the corpus in so many windows of each
+    item that a document that holds the item has one of them. ``word`` is NULL for an item
+    of which such a window has no word that every reading keeps."""
+    window_words = items.select(
+        "item_id",
+        "item_tie",
+        "windows",
+        F.posexplode(_windows(F.col("item_words"), rules.words)).alias("item_at", "window"),
+    ).withColumn("kept", F.filter("window", lambda w: ~w.rlike(r"[#\d]")))
+    kept = stage(window_words.drop("window"), "window-words")
+    words = kept.select(F.explode("kept").alias("word")).distinct()
+    seen = (
+        texts.select(F.explode(_plain_words(F.col("text"))).alias("word"))
+        .join(_small(words, rules), "word")
+        .groupBy("word")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # A word that no document has is the best there is: its window matches nothing.
+    rarest = (
+        kept.select("item_id", "item_tie", "windows", "item_at", F.explode_outer("kept").alias("word"))
+        .join(seen, "word", "left")
+        .groupBy("item_id", "item_tie", "windows", "item_at")
+        .agg(
+            F.min(
+                F.struct(
+                    F.when(F.col("word").isNull(), 1 << 62).otherwise(F.coalesce("n", F.lit(0))).alias("n"),
+                    "word",
+                )
+            ).alias("best")
+        )
+    )
+    return (
+        rarest.groupBy("item_id", "item_tie", "windows")
+        .agg(F.sort_array(F.collect_list(F.struct("best.n", "best.word"))).alias("ranked"))
+        .select("item_id", "item_tie", F.inline(F.slice("ranked", F.lit(1), _needed(rules))))
+        .select("item_id", "item_tie", "word")
+        .distinct()
+    )
+
+
+def _small(df: DataFrame, rules: TemplateRules) -> DataFrame:
+    """``df``, sent to every task if it is measured to be small."""
+    return F.broadcast(df) if fits_in_memory(df, rules.broadcast_bytes) else df
+
+
+def _candidates(docs: DataFrame, items: DataFrame, windows: DataFrame, rules: TemplateRules) -> DataFrame:
+    """(tie, check, item_id, item_tie): texts that may hold an item."""
+    texts = _texts(docs)
+    probes = stage(_word_probes(texts, items, rules), "word-probes")
+    by_word = (
+        texts.select("tie", "check", F.explode(_plain_words(F.col("text"))).alias("word"))
+        .join(_small(probes.where("word IS NOT NULL"), rules), "word")
+        .select(*_PAIR)
+    )
+    wordless = probes.where("word IS NULL").select("item_id", "item_tie").distinct()
+    if not wordless.isEmpty():
+        rest = _probes(windows.join(wordless, ["item_id", "item_tie"], "left_semi"), rules)
+        by_window = (
+            texts.select("tie", "check", template_words(F.col("text")).alias("words"))
+            .withColumn("windows", _windows(F.col("words"), rules.words))
+            # The outer form lets Spark infer no filter on the hashes, which would be pushed
+            # below them and make the words anew for every window.
+            .select(
+                "tie", "check", F.explode_outer(F.flatten(F.transform("windows", _readings))).alias("hash")
+            )
+            .join(_small(stage(rest, "probes"), rules), "hash")
+            .select(*_PAIR)
+        )
+        by_word = by_word.unionByName(by_window)
+    return stage(by_word.distinct(), "candidates")
+
+
 def find_contaminated(
     docs: DataFrame, benchmark: DataFrame, rules: TemplateRules = TemplateRules()
 ) -> DataFrame:
@@ -172,71 +263,51 @@ def find_contaminated(
 
     Words become templates: numbers, names and units give way to placeholders of their
     type. A capital that begins a sentence may be a name or not, so windows match in either
-    reading. A document is a candidate if a rare template window of the item is in it. Then
-    all windows of both are matched, and item and document are laid side by side at every
-    distance at which windows match. ``found`` of the item's ``windows`` must be a share of
-    at least ``share``. The values that stand for the placeholders must go with each
-    other: of the item's ``slots`` distinct values, ``consistent`` have one counterpart that
-    has no other. ``changed`` counts values that differ: 0 for a verbatim copy.
+    reading. A document is a candidate if a rare word of the item is in it, or a rare
+    template window where an item has no such words. Then all windows of both are matched,
+    and item and document are laid side by side at every distance at which windows match.
+    ``found`` of the item's ``windows`` must be a share of at least ``share``. The values
+    that stand for the placeholders must go with each other: of the item's ``slots``
+    distinct values, ``consistent`` have one counterpart that has no other. ``changed``
+    counts values that differ: 0 for a verbatim copy.
 
     NULL texts, and items with fewer words than a window or a NULL id, match nothing. A
     NULL doc_id is kept as such. Equal rows count once; texts of one doc_id are told
-    apart by ``tie``. Empty tables give no rows.
+    apart by ``tie``. Empty tables give no rows. Equal texts are looked at once.
     """
     items = stage(_items(benchmark, rules), "items")
     windows = stage(_item_windows(items, rules), "item-windows")
-    probes = stage(_probes(windows, rules), "probes")
-    few = windows.count() <= rules.broadcast_windows
-    placed = F.broadcast if few else (lambda df: df)
-    texts = _texts(docs)
-    hits = (
-        texts.select("doc_id", "tie", template_words(F.col("text")).alias("words"))
-        .withColumn("windows", _windows(F.col("words"), rules.words))
-        # The outer form lets Spark infer no filter on the hashes, which would be pushed
-        # below them and make the words anew for every window.
-        .select("doc_id", "tie", F.explode_outer(F.flatten(F.transform("windows", _readings))).alias("hash"))
-        .join(placed(probes), "hash")
-        .select("doc_id", "tie", "item_id", "item_tie")
-        .distinct()
-    )
-    # No more than a document has windows, and only for documents with a rare window.
-    wanted = stage(
-        hits.groupBy("doc_id", "tie").agg(
-            F.collect_list(F.struct("item_id", "item_tie")).alias("wanted")
-        ),
-        "candidates",
-    )
-    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tie") == F.col("w.tie"))
-    text = F.col("d.text")
-    found = (
-        texts.distinct().alias("d")
-        .join(wanted.alias("w"), same)
-        .select(
-            "d.doc_id",
-            "d.tie",
-            raw_words(text).alias("raw"),
-            template_words(text).alias("words"),
-            "w.wanted",
-        )
+    candidates = _candidates(docs, items, windows, rules)
+    held = _small(stage(candidates.select("tie", "check").distinct(), "held"), rules)
+    text = F.col("text")
+    placed = (
+        _texts(docs)
+        .join(held, ["tie", "check"], "left_semi")
+        .dropDuplicates(["tie", "check"])
+        .select("tie", "check", raw_words(text).alias("raw"), template_words(text).alias("words"))
         .withColumn("windows", _windows(F.col("words"), rules.words))
         .withColumn("values", _windows(F.col("raw"), rules.words))
-        .select("doc_id", "tie", "wanted", F.posexplode(F.arrays_zip("windows", "values")).alias("at", "both"))
+        .select("tie", "check", F.posexplode(F.arrays_zip("windows", "values")).alias("at", "both"))
         .select(
-            "doc_id",
             "tie",
-            "wanted",
+            "check",
             "at",
             F.col("both.values").alias("values"),
             F.xxhash64(F.transform("both.windows", _plain)).alias("plain"),
             F.explode_outer(_readings(F.col("both.windows"))).alias("hash"),
         )
-        .select("doc_id", "tie", "at", "values", "plain", "hash", F.inline("wanted"))
-        .join(placed(windows), ["item_id", "item_tie", "hash"])
     )
-    return _judged(found, items, placed, rules)
+    # A candidate's windows are as many as the item has; no window meets another's item.
+    wanted = candidates.join(windows, ["item_id", "item_tie"])
+    judged = _judged(placed.join(wanted, ["tie", "check", "hash"]), items, rules)
+    judged = stage(judged, "judged")
+    rows = docs.where("text IS NOT NULL").select("doc_id", *_keys()).distinct()
+    return rows.join(_small(judged, rules), ["tie", "check"]).select(
+        "doc_id", "tie", *[c for c in judged.columns if c not in ("tie", "check", "item_tie")]
+    )
 
 
-_PAIR = ["doc_id", "tie", "item_id", "item_tie"]
+_PAIR = ["tie", "check", "item_id", "item_tie"]
 
 
 def _copies(found: DataFrame) -> DataFrame:
@@ -292,7 +363,7 @@ def _copies(found: DataFrame) -> DataFrame:
     )
 
 
-def _judged(found: DataFrame, items: DataFrame, placed, rules: TemplateRules) -> DataFrame:
+def _judged(found: DataFrame, items: DataFrame, rules: TemplateRules) -> DataFrame:
     n = F.lit(rules.words)
 
     def value(p: Column) -> Column:
@@ -332,7 +403,7 @@ def _judged(found: DataFrame, items: DataFrame, placed, rules: TemplateRules) ->
             ),
         )
         .where(F.col("found") >= F.ceil(F.col("windows") * F.lit(rules.share)))
-        .join(placed(items.drop("windows")), ["item_id", "item_tie"])
+        .join(items.drop("windows"), ["item_id", "item_tie"])
         .withColumn("values", F.filter(values, lambda v: v["doc"].isNotNull()))
     )
     # A sentence's first word that stays as it is need not be a name.
@@ -358,9 +429,7 @@ def _judged(found: DataFrame, items: DataFrame, placed, rules: TemplateRules) ->
         .groupBy(*_PAIR)
         .agg(F.max(best).alias("best"))
         .select(
-            "doc_id",
-            "tie",
-            "item_id",
+            *_PAIR,
             "best.windows",
             "best.found",
             "best.slots",

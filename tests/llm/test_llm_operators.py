@@ -536,7 +536,7 @@ def test_reparameterised_items(spark, broadcast):
             (4, pad()), (5, None), (6, ""), (None, ITEM), (7, ITEM[:50]), (1, pad()), (8, other), (8, other)]
     items = [(1, ITEM), (1, ITEM), (2, None), (None, ITEM), (3, "four words are few"), (4, sentence(rng, 25))]
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("hash", F.lit(0))
-    rules = contamination.TemplateRules(broadcast_windows=broadcast)
+    rules = contamination.TemplateRules(broadcast_bytes=broadcast)
     df = frame(spark, docs)
     out = contamination.find_contaminated(df, benchmark, rules).collect()
     assert bag((r.doc_id, r.item_id, r.changed > 0) for r in out) == bag(
