@@ -297,6 +297,8 @@ def find_contaminated(
             F.explode_outer(_readings(F.col("both.windows"))).alias("hash"),
         )
     )
+    # Most windows of a candidate are no item's; they need not be shuffled.
+    placed = placed.join(_small(windows.select("hash").distinct(), rules), "hash", "left_semi")
     # A candidate's windows are as many as the item has; no window meets another's item.
     wanted = candidates.join(windows, ["item_id", "item_tie"])
     judged = _judged(placed.join(wanted, ["tie", "check", "hash"]), items, rules)
