@@ -175,6 +175,15 @@ def _with(sql: str) -> str:
     return f"WITH {ctes} {sql}"
 
 
+def _compared(name: str, other: str) -> str:
+    """Both tables' rows, and whether they are the same, each as often."""
+    return f"""
+        SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS rows,
+               (SELECT count(*) FROM ({other}) AS c) AS other_rows,
+               NOT EXISTS (SELECT * FROM {name} EXCEPT ALL SELECT * FROM ({other}) AS c)
+               AND NOT EXISTS (SELECT * FROM ({other}) AS c EXCEPT ALL SELECT * FROM {name}) AS same"""
+
+
 def _count_all(tables: list[str], extra: str = "") -> str:
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count{extra} FROM {t}" for t in tables
@@ -251,6 +260,24 @@ def _run_checks() -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "validate_row_counts": _count_all(_TABLES),
+        "compare_contents": " UNION ALL ".join(
+            (
+                _compared("orders", "SELECT * FROM orders"),
+                _compared(
+                    "customer",
+                    """SELECT * REPLACE (CASE WHEN c_custkey = 7 THEN 'OTHER' ELSE c_mktsegment END
+                       AS c_mktsegment) FROM customer""",
+                ),
+                _compared(
+                    "part",
+                    """SELECT * FROM part WHERE p_partkey <> 2
+                       UNION ALL SELECT * FROM part WHERE p_partkey = 1""",
+                ),
+                _compared(
+                    "lineitem", "SELECT * FROM lineitem WHERE NOT (l_orderkey = 1 AND l_linenumber = 1)"
+                ),
+            )
+        ),
         "compare_row_counts": """
             SELECT 'nation' AS table_name, (SELECT count(*) FROM nation) AS row_count,
                    25 AS expected, (SELECT count(*) FROM nation) = 25 AS matches

@@ -36,6 +36,7 @@ from starweir.operators import (
 )
 from starweir.operators.quality import (
     Constraints,
+    compare_contents,
     compare_counts,
     constraint_report,
     date_rejects,
@@ -131,6 +132,24 @@ def compare_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_counts(counts, {"nation": 25, "orders": customers, "customer": customers})
 
 
+@_query
+def compare_contents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with a copy: in another order, with one value changed, with a row twice for
+    another, without one row."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    customers, parts = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    mktsegment = F.when(F.col("c_custkey") == 7, "OTHER").otherwise(F.col("c_mktsegment"))
+    first, second = parts.where("p_partkey = 1"), parts.where("p_partkey <> 2")
+    return compare_contents(
+        {
+            "orders": (orders, orders.repartition("o_custkey")),
+            "customer": (customers, customers.withColumn("c_mktsegment", mktsegment)),
+            "part": (parts, second.unionByName(first)),
+            "lineitem": (lines, lines.where("NOT (l_orderkey = 1 AND l_linenumber = 1)")),
+        }
+    )
+
+
 @_query
 def constraint_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn(

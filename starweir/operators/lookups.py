@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starweir.operators.skew import MAX_KEY_ROWS, hot_keys, with_hot
+from starweir.operators.skew import MAX_KEY_ROWS, hot_keys, summary, with_hot
 
 # Measured bytes of a table up to which every executor may hold a copy.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -27,10 +27,8 @@ _NARROW = (
 _KEY = "_lookup_key"
 
 
-def fits_in_memory(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether the actual contents of ``df`` are known to stay within ``limit`` bytes."""
-    if limit <= 0:
-        return False
+def row_bytes(df: DataFrame) -> Column | None:
+    """What a row takes in memory; None if a column's size cannot be told."""
     width = F.lit(16)
     for field in df.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
@@ -38,9 +36,16 @@ def fits_in_memory(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
         elif isinstance(field.dataType, _NARROW):
             width = width + F.lit(16)
         else:
-            # Of unknown size, so not known to fit.
-            return False
-    size = df.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"]
+            return None
+    return width.cast("bigint")
+
+
+def fits_in_memory(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether the actual contents of ``df`` are known to stay within ``limit`` bytes."""
+    width = row_bytes(df)
+    if limit <= 0 or width is None:
+        return False
+    size = df.agg(F.sum(width).alias("bytes")).first()["bytes"]
     return (size or 0) <= limit
 
 
@@ -74,17 +79,20 @@ def lookup(
     left_on, right_on = F.col(left_key).cast(kind), F.col(_KEY).cast(kind)
     same_key = left_on == right_on
     result = [*df.columns, *columns.values()]
-    if fits_in_memory(right, max_broadcast_bytes):
+    # The right side is read twice: here, and for the join.
+    width = row_bytes(right) if max_broadcast_bytes > 0 else None
+    if width is not None:
+        size, repeated = summary(right, right_on, width, _KEY, max_key_rows)
+    else:
+        sampled = other if right_sample_from is None else right_sample_from
+        sampled = sampled.where(F.col(right_key).isNotNull())
+        keys = sampled.select(F.col(right_key).cast(kind).alias(_KEY))
+        size, repeated = None, hot_keys(keys, [_KEY], max_key_rows)
+    if size is not None and size <= max_broadcast_bytes:
         return df.join(F.broadcast(right), same_key, "left").select(*result)
 
     left_keys = (df if sample_from is None else sample_from).select(left_on.alias(_KEY))
     many = hot_keys(left_keys, [_KEY], max_key_rows).rename_columns([_KEY, "_left_parts"])
-    if right_sample_from is None:
-        right_keys = right.select(right_on.alias(_KEY))
-    else:
-        sampled = right_sample_from.where(F.col(right_key).isNotNull())
-        right_keys = sampled.select(F.col(right_key).cast(kind).alias(_KEY))
-    repeated = hot_keys(right_keys, [_KEY], max_key_rows)
     repeated = repeated.rename_columns([_KEY, "_right_parts"])
     if not many.num_rows and not repeated.num_rows:
         return df.join(right, same_key, "left").select(*result)

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starweir.functions import parse_int_date
+from starweir.jobs import at_once
 
 
 @dataclass(frozen=True)
@@ -59,12 +60,72 @@ def compare_counts(counts: DataFrame, expected: Mapping[str, int]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Contents:
+    """What a table holds, whatever the order of its rows: how many, and two sums over
+    hashes of all rows."""
+
+    rows: int
+    sums: tuple[int, int]
+
+
+def _content_columns(df: DataFrame) -> list[Column]:
+    """The aggregates of :class:`Contents`. Values count as the text they are printed as,
+    so that a column may come back as a wider type; NULL and empty text differ."""
+    texts = [F.col(f"`{f.name}`").cast("string") for f in df.schema]
+    hidden = [c.isNull() for c in texts]
+
+    def total(salt: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(salt), *texts, *hidden).cast("decimal(38,0)"))
+
+    none = F.lit(0).cast("decimal(38,0)")
+    sums = [F.coalesce(total(salt), none).alias(f"sum{salt}") for salt in (0, 1)]
+    return [F.count(F.lit(1)).alias("rows"), *sums]
+
+
+class ContentObservation:
+    """Learns the :class:`Contents` of a table while something else reads it."""
+
+    def __init__(self) -> None:
+        self._seen = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *_content_columns(df))
+
+    def get(self) -> Contents:
+        seen = self._seen.get
+        return Contents(seen["rows"], (int(seen["sum0"]), int(seen["sum1"])))
+
+
+def contents(df: DataFrame) -> Contents:
+    """One pass, whose partial sums are all that is shuffled."""
+    rows, one, two = df.agg(*_content_columns(df)).first()
+    return Contents(rows, (int(one), int(two)))
+
+
+def compare_contents(tables: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """For each pair of tables: table_name, rows, other_rows, and ``same``, whether the
+    rows of both are the same, each as often, in any order."""
+    pairs = at_once([partial(contents, df) for both in tables.values() for df in both])
+    found = [
+        (name, one.rows, two.rows, one == two)
+        for name, one, two in zip(tables, pairs[::2], pairs[1::2])
+    ]
+    spark = next(iter(tables.values()))[0].sparkSession
+    return spark.createDataFrame(
+        found, "table_name string, rows bigint, other_rows bigint, same boolean"
+    )
+
+
 def duplicate_keys(df: DataFrame, key: Iterable[str]) -> DataFrame:
     """Keys without NULL that occur more than once, with their number of rows."""
     key = list(key)
     return df.dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
+_PRINT, _TIMES = "_fingerprint", "_times"
+
+
 def constraint_report(
     df: DataFrame, constraints: Constraints, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -72,46 +133,45 @@ def constraint_report(
 
     ``unique`` counts the keys that occur more than once, ``not_null`` and
     ``length`` count rows, ``schema`` counts declared columns that are missing or
-    of another type. NULLs and lengths take one pass, keys one shuffle of
-    pre-aggregated rows.
+    of another type. One scan serves all: rows are counted by a 64-bit fingerprint of their
+    key, NULLs and lengths along with them. Only if a fingerprint occurs twice is
+    the table read again, and of its keys only those are shuffled that have one of them.
     """
-    reports = []
-    if constraints.key:
-        reports.append(
-            duplicate_keys(df, constraints.key).agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit("unique").alias("check_name"),
-                F.lit(",".join(constraints.key)).alias("column_name"),
-                "violations",
-            )
-        )
     rules = [
         ("not_null", c, F.col(c).isNull())
         for c in dict.fromkeys((*constraints.key, *constraints.not_null))
     ]
     rules += [("length", c, F.length(c) > n) for c, n in constraints.max_length.items()]
-    if rules:
-        counted = df.agg(*[F.count_if(rule).alias(f"r{i}") for i, (*_, rule) in enumerate(rules)])
-        findings = [
-            F.struct(
-                F.lit(check).alias("check_name"),
-                F.lit(column).alias("column_name"),
-                F.col(f"r{i}").alias("violations"),
-            )
-            for i, (check, column, _) in enumerate(rules)
-        ]
-        reports.append(counted.select(F.inline(F.array(*findings))))
-    if schema is not None:
-        reports.append(schema_report(df, schema))
-    return reduce(DataFrame.unionByName, reports)
+    counters = [F.count_if(rule).alias(f"r{i}") for i, (*_, rule) in enumerate(rules)]
+    findings = []
+    if constraints.key:
+        key = list(constraints.key)
+        whole = reduce(Column.__and__, (F.col(c).isNotNull() for c in key))
+        marked = df.withColumn(_PRINT, F.when(whole, F.xxhash64(*key)))
+        by_print = marked.groupBy(_PRINT).agg(F.count(F.lit(1)).alias(_TIMES), *counters)
+        again = F.col(_PRINT).isNotNull() & (F.col(_TIMES) > 1)
+        sums = [F.coalesce(F.sum(f"r{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(rules))]
+        seen = by_print.agg(F.count_if(again).alias("again"), *sums).first()
+        repeated = 0
+        if seen["again"]:
+            prints = by_print.where(again).select(_PRINT)
+            repeated = duplicate_keys(marked.join(prints, _PRINT, "left_semi"), key).count()
+        findings.append(("unique", ",".join(key), repeated))
+    elif rules:
+        seen = df.agg(*counters).first()
+    findings += [(check, column, seen[f"r{i}"]) for i, (check, column, _) in enumerate(rules)]
+    report = df.sparkSession.createDataFrame(findings, _FINDING)
+    return report if schema is None else report.unionByName(schema_report(df, schema))
+
+
+_FINDING = "check_name string, column_name string, violations bigint"
 
 
 def schema_report(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per declared column; a violation if it is missing or of another type."""
     actual = {f.name: f.dataType for f in df.schema}
     rows = [("schema", f.name, int(actual.get(f.name) != f.dataType)) for f in schema]
-    return df.sparkSession.createDataFrame(
-        rows, "check_name string, column_name string, violations bigint"
-    )
+    return df.sparkSession.createDataFrame(rows, _FINDING)
 
 
 def reject_report(counts: Mapping[str, Mapping[str, int]], spark: SparkSession) -> DataFrame:

@@ -46,6 +46,31 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_KEY_ROWS) -
     )
 
 
+def summary(
+    df: DataFrame, key: Column, width: Column | None, name: str, max_rows: int = MAX_KEY_ROWS
+) -> tuple[int | None, pa.Table]:
+    """The sum of ``width`` over all rows, and what :func:`hot_keys` tells of ``key``, in
+    one pass. Partial sums and a sample of the keys are shuffled."""
+    rate = min(1.0, SAMPLE_PER_PART / max_rows)
+    per_part = max(1, int(max_rows * rate))
+    # Rows outside the sample are one group, which every task sums up by itself.
+    chosen = F.rand(7) < rate if rate < 1.0 else F.lit(True)
+    marked = df.select(
+        key.alias(name), (F.lit(None) if width is None else width).cast("bigint").alias("w"), chosen.alias("chosen")
+    )
+    groups = marked.groupBy("chosen", F.when(F.col("chosen"), F.col(name)).alias(name)).agg(
+        F.count(F.lit(1)).alias("seen"), F.sum("w").alias("w")
+    )
+    parts = F.ceil(F.col("seen") / F.lit(per_part)).cast("int").alias("parts")
+    hot = F.when(F.col("chosen") & (F.col("seen") > per_part), F.struct(name, parts))
+    found = groups.agg(F.sum("w").alias("w"), F.collect_list(hot).alias("hot")).toArrow()
+    total = found["w"][0].as_py()
+    rows = found["hot"].combine_chunks().flatten()
+    kinds = rows.type
+    keys = pa.table([rows.field(i) for i in range(kinds.num_fields)], names=[name, "parts"])
+    return (None if width is None else total or 0), keys
+
+
 def with_hot(
     df: DataFrame,
     keys: Sequence[str | Column],

@@ -160,22 +160,22 @@ def validate(layers: Layers, tables: Sequence[str] = ERP_TABLES) -> DataFrame:
     """What the written layers break of what is promised: layer, table_name, check_name,
     column_name, violations. The ERP sources' keys, NOT NULLs and lengths in the raw
     layer, the declared columns and the surrogate keys in the star schema."""
-    reports = [
-        constraint_report(layers.read("raw", t), ERP_CONSTRAINTS[t]).select(
-            F.lit("raw").alias("layer"), F.lit(t).alias("table_name"), "*"
-        )
-        for t in tables
-    ]
     keys = {"dim_customer": ("customer_key",), "dim_product": ("product_key",), "fact_sales": ()}
-    reports += [
-        constraint_report(
-            layers.read("star", t, WAREHOUSE[t] if layers.format == "csv" else None),
-            Constraints(keys[t]),
-            WAREHOUSE[t],
-        ).select(F.lit("star").alias("layer"), F.lit(t).alias("table_name"), "*")
-        for t in WAREHOUSE
+
+    def raw(name: str) -> DataFrame:
+        return constraint_report(layers.read("raw", name), ERP_CONSTRAINTS[name])
+
+    def star(name: str) -> DataFrame:
+        written = layers.read("star", name, WAREHOUSE[name] if layers.format == "csv" else None)
+        return constraint_report(written, Constraints(keys[name]), WAREHOUSE[name])
+
+    checks = [("raw", t, raw) for t in tables] + [("star", t, star) for t in WAREHOUSE]
+    reports = at_once([partial(check, t) for _, t, check in checks])
+    named = [
+        report.select(F.lit(layer).alias("layer"), F.lit(t).alias("table_name"), "*")
+        for (layer, t, _), report in zip(checks, reports)
     ]
-    return reduce(DataFrame.unionByName, reports)
+    return reduce(DataFrame.unionByName, named)
 
 
 @dataclass

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starweir.jobs import at_once
+from starweir.operators.quality import ContentObservation, Contents, contents
 from starweir.sources import read_table, write_table
 
 # Column types the warehouse wants, where they differ from ours.
@@ -48,6 +49,9 @@ class FolderWarehouse:
     def count(self, table: str) -> int:
         return self.read(table).count()
 
+    def contents(self, table: str) -> Contents:
+        return contents(self.read(table))
+
 
 class LoadError(RuntimeError):
     """A table could not be loaded. ``result`` tells how far the load came."""
@@ -67,15 +71,27 @@ def load_table(
     """Replace ``table`` and return its number of rows.
 
     A task that is run again after it has sent rows sends them twice, so the
-    warehouse's own count must agree; if not, the table is replaced once more.
+    warehouse's own count must agree; if not, the table is replaced once more. Where the
+    warehouse can tell its ``contents``, all values must agree with those sent, which are
+    summed up while they are sent.
     """
     casts = CASTS.get(table, {}) if casts is None else casts
     typed = df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()}) if casts else df
+    told = getattr(warehouse, "contents", None)
     for _ in range(attempts):
-        sent = warehouse.replace(typed, table)
-        held = warehouse.count(table)
-        if sent == held:
-            return held
+        watched = ContentObservation()
+        sent = warehouse.replace(watched.watch(typed) if told else typed, table)
+        if told:
+            found = told(table)
+            held = found.rows
+            if found == watched.get():
+                return held
+            if sent == held:
+                raise ValueError(f"{table} does not hold the values that were sent")
+        else:
+            held = warehouse.count(table)
+            if sent == held:
+                return held
     raise ValueError(f"{table} holds {held} rows after {sent} were sent")
 
 

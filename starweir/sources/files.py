@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -84,13 +85,58 @@ def read_table(
 def write_table(df: DataFrame, path: str, format: str = "parquet", **options: str) -> int:
     """Replace the table at ``path`` and return the number of rows written.
 
-    The rows are counted while they are written. CSV gets a header line in each
-    part, and like every CSV that Spark writes loses blanks around values unless
-    ``ignoreLeadingWhiteSpace`` and ``ignoreTrailingWhiteSpace`` are set to False.
+    The table is written beside the old one and takes its place when it is whole, so a
+    failed write, or a driver lost before the end, leaves the old table as it was, and
+    ``df`` may itself read from ``path``. The rows are counted while they are written. CSV
+    gets a header line in each part, and like every CSV that Spark writes loses blanks
+    around values unless ``ignoreLeadingWhiteSpace`` and ``ignoreTrailingWhiteSpace`` are
+    set to False.
     """
     counted = Observation()
+    beside = _beside(path, "new")
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if format == "csv":
         writer = writer.option("header", True)
-    writer.options(**options).format(format).save(path)
+    try:
+        writer.options(**options).format(format).save(beside)
+    except BaseException:
+        _delete(df.sparkSession, beside)
+        raise
+    publish(df.sparkSession, beside, path)
     return counted.get["rows"]
+
+
+def _beside(path: str, kind: str) -> str:
+    """A name in the same folder that readers of the folder pass over."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/.{name}-{uuid.uuid4().hex}.{kind}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Let the folder ``written`` take the place of ``path``, by renames.
+
+    Only names change, which a file system does at once. Should the second rename fail,
+    the old table gets its name back.
+    """
+    files, new = _file_system(spark, written)
+    _, target = _file_system(spark, path)
+    _, old = _file_system(spark, _beside(path, "old"))
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old):
+        raise OSError(f"{path} could not be moved away")
+    if not files.rename(new, target):
+        if replaced:
+            files.rename(old, target)
+        raise OSError(f"{written} could not be renamed to {path}")
+    if replaced:
+        files.delete(old, True)
