@@ -36,12 +36,16 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 class QualityRules:
     #: Buckets of the hashed n-grams; the tables that reach driver and tasks have this size.
     bucket_bits: int = 18
-    #: Seen this often in the corpus, an n-gram's ratio counts half.
-    smoothing: float = 50.0
+    #: Sightings in trusted text added to both sides of a ratio: an n-gram that trusted text
+    #: should have so often, but has not, counts half. The same at every size of corpus.
+    smoothing: float = 4.0
     #: At most so many trusted texts are used, those with the least hashes of their ids.
     trusted_rows: int = 20_000
     #: Mean log-likelihood ratio per n-gram from which a text is kept.
     threshold: float = -0.1
+    #: Mean ratio of the words of the worst window of so many words, from which it is kept.
+    window: int = 16
+    window_threshold: float = -0.25
     least_words: int = 50
     most_repeated_percent: int = 50
 
@@ -175,12 +179,12 @@ def count_ngrams(
 
 
 def log_ratios(corpus: np.ndarray, trusted: np.ndarray, smoothing: float) -> np.ndarray:
-    """log(p trusted / p corpus) of each bucket, both smoothed by as many sightings of the
-    corpus's own kind, so that what is rare in the corpus says little."""
+    """log(p trusted / p corpus) of each bucket, as sightings in trusted text against those
+    to be expected there, both smoothed, so that what is rare says little."""
     if not trusted.sum():
         return np.zeros(len(corpus), np.float32)
-    share = trusted.sum() / corpus.sum()
-    return np.log((trusted / share + smoothing) / (corpus + smoothing)).astype(np.float32)
+    expected = corpus * (trusted.sum() / corpus.sum())
+    return np.log((trusted + smoothing) / (expected + smoothing)).astype(np.float32)
 
 
 def trusted_ids(labels: DataFrame, rows: int) -> np.ndarray:
@@ -207,8 +211,26 @@ def score_chunk(words: Words, hashes: np.ndarray, ratios: np.ndarray, bits: int)
     return total / np.maximum(number, 1)
 
 
+def worst_windows(
+    words: Words, hashes: np.ndarray, ratios: np.ndarray, bits: int, length: int
+) -> np.ndarray:
+    """The least mean log-likelihood ratio of ``length`` consecutive words of each text; 0
+    for a text with fewer words. A few words that trusted text avoids stand out in it."""
+    (buckets, _), _ = ngram_buckets(words, hashes, bits)
+    total = np.zeros(len(buckets) + 1)
+    np.cumsum(ratios[buckets].astype(np.float64), out=total[1:])
+    number = np.maximum(np.diff(words.first) - length + 1, 0)
+    starts = ranges(words.first[:-1], number)
+    out = np.zeros(len(number))
+    if len(starts):
+        means = (total[starts + length] - total[starts]) / length
+        some = number > 0
+        out[some] = np.minimum.reduceat(means, (np.cumsum(number) - number)[some])
+    return out
+
+
 _SCHEMA = ", ".join(f"{name}: long" for name in COUNTS)
-RESULT = f"struct<{_SCHEMA.replace(': ', ':')}, score:double, base_failed:boolean, kept:boolean>"
+RESULT = f"struct<{_SCHEMA.replace(': ', ':')}, score:double, worst:double, base_failed:boolean, kept:boolean>"
 
 
 def quality_column(ratios: np.ndarray, rules: QualityRules, spark):
@@ -222,27 +244,35 @@ def quality_column(ratios: np.ndarray, rules: QualityRules, spark):
         for at, end in chunks(bounds):
             piece = data[bounds[at] : bounds[end]]
             counts, words, hashes = count_chunk(piece, bounds[at : end + 1] - bounds[at])
-            counts["score"] = score_chunk(words, hashes, table.value, rules.bucket_bits)
+            known = (words, hashes, table.value, rules.bucket_bits)
+            counts["score"], counts["worst"] = score_chunk(*known), worst_windows(*known, rules.window)
             found.append(counts)
         none = np.zeros(0, np.int64)
         out = {c: np.concatenate([none, *(f[c] for f in found)]) for c in COUNTS}
-        out["score"] = np.concatenate([none.astype(float), *(f["score"] for f in found)])
+        for c in ("score", "worst"):
+            out[c] = np.concatenate([none.astype(float), *(f[c] for f in found)])
         out["base_failed"] = (out["n_words"] < rules.least_words) | (
             100 * out["n_repeat_words"] > rules.most_repeated_percent * out["n_words"]
         )
-        out["kept"] = ~out["base_failed"] & (out["score"] >= rules.threshold)
+        out["kept"] = (
+            ~out["base_failed"]
+            & (out["score"] >= rules.threshold)
+            & (out["worst"] >= rules.window_threshold)
+        )
         return pa.StructArray.from_arrays(list(map(pa.array, out.values())), list(out))
 
     return judge
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()):
-    """``docs`` with a column ``quality``: counts, ``score``, ``base_failed`` and ``kept``.
+    """``docs`` with a column ``quality``: counts, ``score``, ``worst``, ``base_failed`` and
+    ``kept``.
 
     The n-grams (words and pairs of words) of all texts are counted in hashed buckets, and
     those of the trusted texts too. A text's score is the mean log ratio of its n-grams'
-    shares in trusted text and in the corpus. It fails with too few or too many repeated
-    words; else the score decides against a fixed threshold.
+    shares in trusted text and in the corpus, ``worst`` the least mean of the words of one
+    window. It fails with too few or too many repeated words; else score and worst window
+    decide, each against a fixed threshold.
 
     A NULL or empty text has no words, score 0, and fails. Rows with a NULL doc_id are
     judged, but never trusted. Copies of a doc_id are each judged. Without trusted texts

@@ -507,7 +507,7 @@ def test_quality_scores_are_mean_ratios(spark, odd_rows):
     share = sum(trusted.values()) / sum(corpus.values())
     for r in out.collect():
         own = grams(r.text)
-        score = sum(math.log((trusted[g] / share + 2) / (corpus[g] + 2)) for g in own) / max(1, len(own))
+        score = sum(math.log((trusted[g] + 2) / (corpus[g] * share + 2)) for g in own) / max(1, len(own))
         # Buckets hold more than one n-gram now and then.
         assert r.score == pytest.approx(score, abs=0.05)
     for docs, marks in ((frame(spark, []), labels), (frame(spark, odd_rows), labels.where("false"))):
