@@ -7,6 +7,7 @@ what stands in sequences that are not full together and deal it out anew.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -21,11 +22,13 @@ from starweir.llm.text import batches
 from starweir.llm.tokens import encoder
 from starweir.staging import stage
 
+_log = logging.getLogger(__name__)
+
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces in a partition, about.
 PARTITION_PIECES = 200_000
-#: Times that partitions with gaps exchange pieces, at most.
-EXCHANGES = 3
+#: Exchanges go on until so many after each other save no sequence.
+PATIENCE = 2
 
 
 def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
@@ -156,27 +159,35 @@ def pack_pieces(
 
     Pieces are dealt to partitions by hash, so that no doc_id makes one large. After each
     round the pieces of partitions with a gap to their bound, except those in full
-    sequences, are dealt to fewer partitions and packed again; the new packing is taken
-    where it needs fewer sequences. An empty table stays empty.
+    sequences, are dealt anew, by another hash, to partitions of the same size and packed
+    again; the new packing is taken where it needs fewer sequences. This ends when no
+    partition has a gap, when one partition holds all that is left, or when exchanges save
+    nothing any more. An empty table stays empty.
     """
     numbered = stage(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     partitions = max(1, -(-numbered.count() // partition_pieces))
-    best, exchange, done = stage(_pack_once(numbered, partitions, 0, capacity), "packed"), 0, []
+    best, done = stage(_pack_once(numbered, partitions, 0, capacity), "packed"), []
+    # The exchange that made ``best``, how many there were, and how many since.
+    made = exchange = idle = 0
     while True:
-        done.append(_numbered(best.where("settled"), exchange))
+        done.append(_numbered(best.where("settled"), made))
         left = best.where("NOT settled")
         n = left.count()
         if not n:
             break
-        if exchange == EXCHANGES or partitions == 1:
-            done.append(_numbered(left, exchange))
-            break
-        partitions = max(1, min(partitions // 2, -(-n // partition_pieces)))
-        again = stage(_pack_once(left, partitions, exchange + 1, capacity), "packed")
-        if _sequences(again) >= _sequences(left):
-            done.append(_numbered(left, exchange))
+        needed = _sequences(left)
+        again = None
+        while partitions > 1 and idle < PATIENCE:
+            partitions, exchange = max(1, -(-n // partition_pieces)), exchange + 1
+            again = stage(_pack_once(left, partitions, exchange, capacity), "packed")
+            if _sequences(again) < needed:
+                break
+            again, idle = None, idle + 1
+        if again is None:
+            _log.info("%d sequences are not certified to be the fewest", needed)
+            done.append(_numbered(left, made))
             break
-        best, exchange = again, exchange + 1
+        best, made, idle = again, exchange, 0
     return reduce(DataFrame.unionAll, done)
 
 
@@ -186,7 +197,7 @@ def _sequences(packed: DataFrame) -> int:
 
 def _numbered(packed: DataFrame, exchange: int) -> DataFrame:
     """Sequences told apart by the exchange, the partition and the number in it."""
-    sequence = F.shiftleft(F.col("block") * (EXCHANGES + 1) + exchange, 24) + F.col("bin")
+    sequence = F.lit(exchange << 48) + F.shiftleft(F.col("block"), 24) + F.col("bin")
     return packed.select(
         "doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset"
     )
