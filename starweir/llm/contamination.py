@@ -182,10 +182,10 @@ def _probes(windows: DataFrame, rules: TemplateRules) -> DataFrame:
     )
 
 
-def _word_probes(texts: DataFrame, items: DataFrame, rules: TemplateRules) -> DataFrame:
-    """(item_id, item_tie, word): the rarest words of the corpus in so many windows of each
-    item that a document that holds the item has one of them. ``word`` is NULL for an item
-    of which such a window has no word that every reading keeps."""
+def _rarest_words(texts: DataFrame, items: DataFrame, rules: TemplateRules) -> DataFrame:
+    """(item_id, item_tie, windows, item_at, best): of each window of the items the word that
+    is rarest in the corpus, with how often it is there. A window without a word that every
+    reading keeps has NULL."""
     window_words = items.select(
         "item_id",
         "item_tie",
@@ -201,7 +201,7 @@ def _word_probes(texts: DataFrame, items: DataFrame, rules: TemplateRules) -> Da
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # A word that no document has is the best there is: its window matches nothing.
-    rarest = (
+    return (
         kept.select("item_id", "item_tie", "windows", "item_at", F.explode_outer("kept").alias("word"))
         .join(seen, "word", "left")
         .groupBy("item_id", "item_tie", "windows", "item_at")
@@ -214,6 +214,12 @@ def _word_probes(texts: DataFrame, items: DataFrame, rules: TemplateRules) -> Da
             ).alias("best")
         )
     )
+
+
+def _word_probes(rarest: DataFrame, rules: TemplateRules) -> DataFrame:
+    """(item_id, item_tie, word): the rarest words of so many windows of each item that a
+    document that holds the item has one of them. ``word`` is NULL for an item of which such
+    a window has no word."""
     return (
         rarest.groupBy("item_id", "item_tie", "windows")
         .agg(F.sort_array(F.collect_list(F.struct("best.n", "best.word"))).alias("ranked"))
@@ -231,12 +237,14 @@ def _small(df: DataFrame, rules: TemplateRules) -> DataFrame:
 def _candidates(docs: DataFrame, items: DataFrame, windows: DataFrame, rules: TemplateRules) -> DataFrame:
     """(tie, check, item_id, item_tie): texts that may hold an item."""
     texts = _texts(docs)
-    probes = stage(_word_probes(texts, items, rules), "word-probes")
+    rarest = stage(_rarest_words(texts, items, rules), "rarest-words")
+    probes = stage(_word_probes(rarest, rules), "word-probes")
     by_word = (
         texts.select("tie", "check", F.explode(_plain_words(F.col("text"))).alias("word"))
         .join(_small(probes.where("word IS NOT NULL"), rules), "word")
         .select(*_PAIR)
     )
+    by_word = _with_most_words(texts, stage(by_word.distinct(), "with-a-word"), rarest, rules)
     wordless = probes.where("word IS NULL").select("item_id", "item_tie").distinct()
     if not wordless.isEmpty():
         rest = _probes(windows.join(wordless, ["item_id", "item_tie"], "left_semi"), rules)
@@ -255,6 +263,34 @@ def _candidates(docs: DataFrame, items: DataFrame, windows: DataFrame, rules: Te
     return stage(by_word.distinct(), "candidates")
 
 
+def _with_most_words(
+    texts: DataFrame, pairs: DataFrame, rarest: DataFrame, rules: TemplateRules
+) -> DataFrame:
+    """Those of ``pairs`` whose text has the rarest words of the needed share of the item's
+    windows; without them it cannot have the windows."""
+    held = _small(stage(pairs.select("tie", "check").distinct(), "with-words"), rules)
+    words = (
+        texts.join(held, ["tie", "check"], "left_semi")
+        .dropDuplicates(["tie", "check"])
+        .select("tie", "check", F.explode(F.array_distinct(_plain_words(F.col("text")))).alias("word"))
+        .join(_small(rarest.select("best.word").distinct(), rules), "word", "left_semi")
+    )
+    windows = rarest.select("item_id", "item_tie", "windows", "best.word").groupBy(
+        "item_id", "item_tie", "windows", "word"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    asked = pairs.join(windows, ["item_id", "item_tie"])
+    # A window without such a word may be in any text.
+    free = asked.where("word IS NULL").select(*_PAIR, "windows", "n")
+    there = asked.join(words, ["tie", "check", "word"]).select(*_PAIR, "windows", "n")
+    return (
+        there.unionByName(free)
+        .groupBy(*_PAIR, "windows")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= F.ceil(F.col("windows") * F.lit(rules.share)))
+        .select(*_PAIR)
+    )
+
+
 def find_contaminated(
     docs: DataFrame, benchmark: DataFrame, rules: TemplateRules = TemplateRules()
 ) -> DataFrame:
