@@ -31,12 +31,15 @@ from starweir.staging import stage
 LEADER_WORDS = 6
 
 # A place is one number that sorts by text and start: 23 bits that tell texts of one
-# doc_id apart, 32 bits for the start, 8 bits for a number of windows.
+# doc_id apart besides their hash, 32 bits for the start, 8 bits for a number of windows.
 _TIE, _START, _COUNT = 23, 32, 8
 
+#: What identifies a text, whatever its doc_id: 87 bits of two hashes beside it.
+KEYS = ["doc", "mark", "tie"]
+
 
 def _tie(text: Column) -> Column:
-    return F.xxhash64(text).bitwiseAND(F.lit((1 << _TIE) - 1))
+    return F.hash(text).cast("long").bitwiseAND(F.lit((1 << _TIE) - 1))
 
 
 def place(tie: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -49,11 +52,12 @@ def starts_and_counts(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and what identifies a text: ``doc``, a NULL doc_id as the least
-    number, and ``tie``, which tells texts of one doc_id apart."""
+    number, and ``mark`` and ``tie``, which tell texts of one doc_id apart."""
     return docs.select(
         "doc_id",
         "text",
         F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"),
+        F.xxhash64("text").alias("mark"),
         _tie(F.col("text")).alias("tie"),
     )
 
@@ -97,7 +101,7 @@ def _led(length: int):
     def lead(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):
             data, edges = utf8(batch.column("text"))
-            doc, tie = (batch.column(c).to_numpy() for c in ("doc", "tie"))
+            doc, mark, tie = (batch.column(c).to_numpy() for c in KEYS)
             for at, end in chunks(edges):
                 words = words_of(data[edges[at] : edges[end]], edges[at : end + 1] - edges[at])
                 leader, under, row, start, count = _stretches(words.hashes(), words.first, length)
@@ -106,24 +110,40 @@ def _led(length: int):
                         pa.array(leader.view(np.int64)),
                         pa.array(under.view(np.int64)),
                         pa.array(doc[at + row]),
+                        pa.array(mark[at + row]),
                         pa.array(place(tie[at + row], start, count)),
                     ],
-                    ["leader", "under", "doc", "place"],
+                    ["leader", "under", "doc", "mark", "place"],
                 )
 
     return lead
 
 
+def distinct_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted rows of numbers without those equal to the row before: what rows with one
+    doc_id and one text have in common."""
+    last = None
+    for frame in parts:
+        if not len(frame):
+            continue
+        rows = frame.to_numpy()
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        new[0] = last is None or (rows[0] != last).any()
+        last = rows[-1]
+        yield frame if new.all() else frame[new]
+
+
 def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For stretches sorted by leader, words, document and place: all but the first of
     equal stretches are repeats; the first of each is open if its leader has others."""
     last_leader = last_under = None
     waiting: tuple | None = None
-    for frame in parts:
+    for frame in distinct_rows(parts):
         if not len(frame):
             continue
         leader, under = frame["leader"].to_numpy(), frame["under"].to_numpy()
-        doc, where = frame["doc"].to_numpy(), frame["place"].to_numpy()
+        text = frame[["doc", "mark", "place"]].to_numpy()
         same_leader = np.zeros(len(frame), bool)
         same_leader[1:] = leader[1:] == leader[:-1]
         same_leader[0] = leader[0] == last_leader
@@ -140,26 +160,18 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if waiting is not None:
             if len(firsts) and leader[firsts[0]] == waiting[0]:
                 is_open[0] = True
-                if not waiting[3]:
-                    extra.append(waiting[1:3])
+                if not waiting[2]:
+                    extra.append(waiting[1])
             if len(firsts):
                 waiting = None
         if len(firsts):
             i = firsts[-1]
-            waiting = (leader[i], doc[i], where[i], bool(is_open[-1]))
+            waiting = (leader[i], text[i], bool(is_open[-1]))
         last_leader, last_under = leader[-1], under[-1]
         opened = firsts[is_open]
-        yield pd.DataFrame(
-            {
-                "doc": np.concatenate(
-                    [doc[repeat], doc[opened], np.array([e[0] for e in extra], np.int64)]
-                ),
-                "place": np.concatenate(
-                    [where[repeat], where[opened], np.array([e[1] for e in extra], np.int64)]
-                ),
-                "open": np.arange(repeat.sum() + len(opened) + len(extra)) >= repeat.sum(),
-            }
-        )
+        out = np.concatenate([text[repeat], text[opened], *(e[None] for e in extra)])
+        found = pd.DataFrame(out, columns=["doc", "mark", "place"])
+        yield found.assign(open=np.arange(len(out)) >= repeat.sum())
 
 
 def _opened(length: int):
@@ -168,7 +180,7 @@ def _opened(length: int):
     def windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):
             data, edges = utf8(batch.column("text"))
-            doc, tie = (batch.column(c).to_numpy() for c in ("doc", "tie"))
+            doc, mark, tie = (batch.column(c).to_numpy() for c in KEYS)
             places = batch.column("places")
             for at, end in chunks(edges):
                 words = words_of(data[edges[at] : edges[end]], edges[at : end + 1] - edges[at])
@@ -186,11 +198,12 @@ def _opened(length: int):
                             for b in WORD_BASES
                         ),
                         pa.array(doc[at + row]),
+                        pa.array(mark[at + row]),
                         pa.array(
                             place(tie[at + row], window - words.first[row], np.ones_like(row))
                         ),
                     ],
-                    ["one", "two", "doc", "place"],
+                    ["one", "two", "doc", "mark", "place"],
                 )
 
     return windows
@@ -199,7 +212,7 @@ def _opened(length: int):
 def _later(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For windows sorted by hash, document and place: all but the first of each."""
     last = None
-    for frame in parts:
+    for frame in distinct_rows(parts):
         if not len(frame):
             continue
         one, two = frame["one"].to_numpy(), frame["two"].to_numpy()
@@ -207,36 +220,36 @@ def _later(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         again[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
         again[0] = last == (one[0], two[0])
         last = (one[-1], two[-1])
-        yield frame.loc[again, ["doc", "place"]]
+        yield frame.loc[again, ["doc", "mark", "place"]]
 
 
 def per_document(found: DataFrame) -> DataFrame:
     """The places of each text; there are no more than it has windows."""
     tie = F.shiftrightunsigned("place", _START + _COUNT).alias("tie")
-    return found.groupBy("doc", tie).agg(F.collect_list("place").alias("places"))
+    return found.groupBy("doc", "mark", tie).agg(F.collect_set("place").alias("places"))
 
 
 def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(doc, tie, places) of the windows of ``length`` words that also start earlier."""
+    """(doc, mark, tie, places) of the windows of ``length`` words that also start earlier."""
     spark, texts = docs.sparkSession, keyed(docs)
     resolved = stage(
-        texts.mapInArrow(_led(length), "leader long, under long, doc long, place long")
+        texts.mapInArrow(_led(length), "leader long, under long, doc long, mark long, place long")
         .repartition("leader")
-        .sortWithinPartitions("leader", "under", "doc", "place")
-        .mapInPandas(_resolve, "doc long, place long, open boolean"),
+        .sortWithinPartitions("leader", "under", "doc", "mark", "place")
+        .mapInPandas(_resolve, "doc long, mark long, place long, open boolean"),
         "stretches",
     )
     release(spark)
     again = stage(
-        texts.join(per_document(resolved.where("open")), ["doc", "tie"])
-        .mapInArrow(_opened(length), "one long, two long, doc long, place long")
+        texts.join(per_document(resolved.where("open")), KEYS)
+        .mapInArrow(_opened(length), "one long, two long, doc long, mark long, place long")
         .repartition("one", "two")
-        .sortWithinPartitions("one", "two", "doc", "place")
-        .mapInPandas(_later, "doc long, place long"),
+        .sortWithinPartitions("one", "two", "doc", "mark", "place")
+        .mapInPandas(_later, "doc long, mark long, place long"),
         "windows",
     )
     release(spark)
-    return per_document(resolved.where("NOT open").select("doc", "place").unionAll(again))
+    return per_document(resolved.where("NOT open").drop("open").unionAll(again))
 
 
 def _cut(length: int):
@@ -295,12 +308,12 @@ def remove_repeated_passages(docs: DataFrame, length: int = 20) -> DataFrame:
 
     A leader with very many stretches streams through its task in sorted order. A NULL or
     empty text has no words. A NULL doc_id counts as the least. Texts of one doc_id come
-    in the order of a hash; rows that are equal in both are one document, and each row
-    gets its result.
+    in the order of their ``xxhash64``; rows that are equal in both are one document, and
+    each row gets its result.
     """
     found = repeated_windows(docs, length)
     return (
         keyed(docs)
-        .join(found, ["doc", "tie"], "left")
+        .join(found, KEYS, "left")
         .mapInArrow(_cut(length), "doc_id long, n_words long, n_removed long, kept string")
     )

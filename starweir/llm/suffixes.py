@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starweir.llm.housekeeping import release
-from starweir.llm.substrings import keyed, per_document, place, starts_and_counts
+from starweir.llm.substrings import (
+    KEYS,
+    distinct_rows,
+    keyed,
+    per_document,
+    place,
+    starts_and_counts,
+)
 from starweir.llm.text import (
     BYTE_BASE,
-    WORD_BASES,
     batches,
     byte_values,
     chunks,
@@ -35,7 +41,7 @@ LEADER_BYTES = 16
 MODULUS, COVER = 31, (0, 1, 3, 8, 12, 18)
 #: Pieces sorted at once.
 BLOCK_PIECES = 50_000
-#: The strings of a leader with more pieces are dealt to buckets of their own.
+#: A leader with more pieces is no bucket: the least document of each of its strings is found.
 BUCKET_PIECES = 200_000
 
 
@@ -67,7 +73,7 @@ def _led(length: int):
     def lead(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):
             data, edges = utf8(batch.column("text"))
-            doc, tie = (batch.column(c).to_numpy() for c in ("doc", "tie"))
+            doc, mark, tie = (batch.column(c).to_numpy() for c in KEYS)
             for at, end in chunks(edges):
                 leader, under, row, start, count = _stretches(
                     data[edges[at] : edges[end]], edges[at : end + 1] - edges[at], length
@@ -77,9 +83,10 @@ def _led(length: int):
                         pa.array(leader.view(np.int64)),
                         pa.array(under.view(np.int64)),
                         pa.array(doc[at + row]),
+                        pa.array(mark[at + row]),
                         pa.array(place(tie[at + row], start, count)),
                     ],
-                    ["leader", "under", "doc", "place"],
+                    ["leader", "under", "doc", "mark", "place"],
                 )
 
     return lead
@@ -91,17 +98,19 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     has other bytes too."""
     leader_now = under_now = first_now = None
     several = False  # the present leader is known to have different bytes
-    held: list[np.ndarray] = []  # its first rows otherwise: documents and places
+    held: list[np.ndarray] = []  # its first rows otherwise
 
-    def out(of, doc, where, is_open) -> pd.DataFrame:
+    def out(of, text, is_open) -> pd.DataFrame:
         # Which leader matters for open stretches only.
-        return pd.DataFrame({"leader": of, "doc": doc, "place": where, "open": is_open})
+        rows = pd.DataFrame(text, columns=["doc", "mark", "place"])
+        return rows.assign(leader=of, open=is_open)[["leader", "doc", "mark", "place", "open"]]
 
-    for frame in parts:
+    for frame in distinct_rows(parts):
         if not len(frame):
             continue
         leader, under = frame["leader"].to_numpy(), frame["under"].to_numpy()
-        doc, where = frame["doc"].to_numpy(), frame["place"].to_numpy()
+        text = frame[["doc", "mark", "place"]].to_numpy()
+        doc = text[:, 0]
         new_leader = np.ones(len(frame), bool)
         new_leader[1:] = leader[1:] != leader[:-1]
         goes_on = leader[0] == leader_now
@@ -120,29 +129,28 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             many[0] = True
         is_open = ~repeat & many[run]
         pieces = [
-            out(0, doc[repeat], where[repeat], False),
-            out(leader[is_open], doc[is_open], where[is_open], True),
+            out(0, text[repeat], False),
+            out(leader[is_open], text[is_open], True),
         ]
         if held and goes_on and many[0]:
-            pieces += [out(leader_now, h[0], h[1], True) for h in held]
+            pieces += [out(leader_now, h, True) for h in held]
         if not goes_on or many[0] or len(many) > 1:
             held = []
         several = bool(many[-1])
         if not several:
             rest = ~repeat & (run == run[-1])
-            held.append(np.stack([doc[rest], where[rest]]))
+            held.append(text[rest])
         leader_now, under_now, first_now = leader[-1], under[-1], first[group[-1]]
         yield pd.concat(pieces)
 
 
-def _pieces(length: int, large: np.ndarray):
+def _pieces(length: int):
     """The open stretches' bytes, with the distance from the first byte to the leader."""
-    large = np.sort(large)
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):
             data, edges = utf8(batch.column("text"))
-            doc, tie = (batch.column(c).to_numpy() for c in ("doc", "tie"))
+            doc, mark, tie = (batch.column(c).to_numpy() for c in KEYS)
             places = batch.column("places")
             for at, end in chunks(edges):
                 piece = data[edges[at] : edges[end]]
@@ -157,34 +165,77 @@ def _pieces(length: int, large: np.ndarray):
                     first = low[few] + s
                     distance = np.argmin(short[first[:, None] + inside], axis=1)
                     bucket = short[first + distance]
-                    hot = np.isin(bucket, large)
-                    if hot.any():
-                        # Every string by itself, in a bucket of its own bytes.
-                        n = np.where(hot, c, 1)
-                        step = ranges(np.zeros(len(n), np.int64), n)
-                        s, r, first, distance, bucket, hot = (
-                            np.repeat(x, n) for x in (s, r, first, distance, bucket, hot)
-                        )
-                        s, first, distance = s + step, first + step, distance - step
-                        c = np.where(hot, 1, np.repeat(c, n))
-                        whole = window_hashes(byte_values(piece), length, BYTE_BASE)[first]
-                        bucket = np.where(hot, mix(whole ^ WORD_BASES[0]), bucket)
                     raw = piece.tobytes()
                     ends = (first + c + length - 1).tolist()
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(bucket.view(np.int64)),
                             pa.array(doc[at + r]),
+                            pa.array(mark[at + r]),
                             pa.array(place(tie[at + r], s, c)),
                             pa.array(distance.astype(np.int32)),
                             pa.array([raw[a:b] for a, b in zip(first.tolist(), ends)], pa.binary()),
                         ],
-                        ["bucket", "doc", "place", "distance", "piece"],
+                        ["bucket", "doc", "mark", "place", "distance", "piece"],
                     )
 
     return rows
 
 
+def _strings(length: int):
+    """Every string of the open stretches by itself."""
+
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(parts):
+            data, edges = utf8(batch.column("text"))
+            doc, mark, tie = (batch.column(c).to_numpy() for c in KEYS)
+            places = batch.column("places")
+            for at, end in chunks(edges):
+                raw = data[edges[at] : edges[end]].tobytes()
+                own = places.slice(at, end - at)
+                row = np.repeat(np.arange(end - at), own.value_lengths().to_numpy())
+                start, count = starts_and_counts(own.flatten().to_numpy())
+                for few in np.array_split(np.arange(len(start)), len(start) // 20_000 + 1):
+                    begin = ranges(start[few], count[few])
+                    r = np.repeat(row[few], count[few])
+                    first = (begin + (edges[at:end] - edges[at])[r]).tolist()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([raw[i : i + length] for i in first], pa.binary()),
+                            pa.array(doc[at + r]),
+                            pa.array(mark[at + r]),
+                            pa.array(place(tie[at + r], begin, np.ones_like(begin))),
+                        ],
+                        ["string", "doc", "mark", "place"],
+                    )
+
+    return rows
+
+
+def _of_large(strings: DataFrame) -> DataFrame:
+    """(doc, mark, place) of the strings that an earlier document has too. Each task first
+    keeps one row per string; strings in very many places are spread over slices, each
+    with a copy of the string's one least document."""
+    least = stage(
+        strings.groupBy("string")
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n"))
+        .where("least < most")
+        .select("string", "least", F.expr(f"int(n div {BUCKET_PIECES}) + 1").alias("slices")),
+        "least",
+    )
+    # No more than one for every BUCKET_PIECES strings.
+    sliced = F.broadcast(least.where("slices > 1").select("string", "slices"))
+    dealt = strings.join(sliced, "string", "left").withColumn(
+        "slice", F.expr("pmod(xxhash64(mark, place), coalesce(slices, 1))")
+    )
+    copies = least.select("string", "least", F.expr("explode(sequence(0L, slices - 1L))").alias("slice"))
+    return (
+        dealt.join(copies, ["string", "slice"])
+        .where("doc > least")
+        .select("doc", "mark", "place")
+    )
+
+
 def _sampled(column: int) -> int:
     """The first column from ``column`` on that is in the cover's sample."""
     while column % MODULUS not in COVER:
@@ -262,7 +313,7 @@ def _sorted_buckets(length: int):
     """The repeats of pieces that come sorted by bucket; whole buckets are sorted together."""
 
     def runs(batch: pa.RecordBatch) -> pa.RecordBatch:
-        doc, where = batch.column("doc").to_numpy(), batch.column("place").to_numpy()
+        doc, mark, where = (batch.column(c).to_numpy() for c in ("doc", "mark", "place"))
         distance = batch.column("distance").to_numpy().astype(np.int64)
         start, count = starts_and_counts(where)
         found = repeats_in_block(
@@ -277,8 +328,12 @@ def _sorted_buckets(length: int):
         low = length - LEADER_BYTES - distance[row]
         tie = where[row] >> 40
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc[row]), pa.array(place(tie, start[row] + begin - low, end - begin))],
-            ["doc", "place"],
+            [
+                pa.array(doc[row]),
+                pa.array(mark[row]),
+                pa.array(place(tie, start[row] + begin - low, end - begin)),
+            ],
+            ["doc", "mark", "place"],
         )
 
     def sort(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,38 +357,44 @@ def _sorted_buckets(length: int):
 
 
 def repeated_strings(docs: DataFrame, length: int) -> DataFrame:
-    """(doc, tie, places) of the strings of ``length`` bytes that also start in a document
-    with a smaller doc_id."""
+    """(doc, mark, tie, places) of the strings of ``length`` bytes that also start in a
+    document with a smaller doc_id."""
     spark, texts = docs.sparkSession, keyed(docs)
     resolved = stage(
-        texts.mapInArrow(_led(length), "leader long, under long, doc long, place long")
+        texts.mapInArrow(_led(length), "leader long, under long, doc long, mark long, place long")
         .repartition("leader")
-        .sortWithinPartitions("leader", "under", "doc", "place")
-        .mapInPandas(_resolve, "leader long, doc long, place long, open boolean"),
+        .sortWithinPartitions("leader", "under", "doc", "mark", "place")
+        .mapInPandas(_resolve, "leader long, doc long, mark long, place long, open boolean"),
         "stretches",
     )
     release(spark)
+    is_open = resolved.where("open")
     # No more than one for every BUCKET_PIECES open stretches.
-    large = (
-        resolved.where("open")
-        .groupBy("leader")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > BUCKET_PIECES)
-        .toArrow()["leader"]
-        .to_numpy()
-        .view(np.uint64)
+    large = stage(
+        is_open.groupBy("leader").count().where(f"count > {BUCKET_PIECES}").select("leader"), "large"
     )
-    opened = texts.join(per_document(resolved.where("open")), ["doc", "tie"])
-    schema = "bucket long, doc long, place long, distance int, piece binary"
-    pieces = opened.mapInArrow(_pieces(length, large), schema)
-    sorted_ = stage(
-        pieces.repartition("bucket")
+
+    def opened(how: str) -> DataFrame:
+        places = per_document(is_open.join(F.broadcast(large), "leader", how))
+        return texts.join(places, KEYS)
+
+    schema = "bucket long, doc long, mark long, place long, distance int, piece binary"
+    found = stage(
+        opened("left_anti")
+        .mapInArrow(_pieces(length), schema)
+        .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_sorted_buckets(length), "doc long, place long"),
+        .mapInArrow(_sorted_buckets(length), "doc long, mark long, place long"),
         "strings",
     )
     release(spark)
-    return per_document(resolved.where("NOT open").select("doc", "place").unionAll(sorted_))
+    if not large.isEmpty():
+        strings = opened("left_semi").mapInArrow(
+            _strings(length), "string binary, doc long, mark long, place long"
+        )
+        found = found.unionAll(stage(_of_large(strings), "strings-of-large"))
+        release(spark)
+    return per_document(resolved.where("NOT open").select("doc", "mark", "place").unionAll(found))
 
 
 def _cut(length: int):
@@ -385,6 +446,8 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50) -> DataFrame:
     2. Those stretches, cut out with what surrounds them, are suffix buckets: a leader's
        suffixes come together and are sorted, a block of whole buckets at a time. Long
        ties end at the columns of a difference cover, whose suffixes are ranked before.
+       A leader of more than BUCKET_PIECES stretches is no bucket that one task could hold:
+       its strings are grouped by their bytes, each task's first, to their least document.
     3. The repeats of each document are cut out.
 
     A NULL text is empty. A NULL doc_id counts as the least. Texts with one doc_id do not
@@ -393,7 +456,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50) -> DataFrame:
     found = repeated_strings(docs, length)
     return (
         keyed(docs)
-        .join(found, ["doc", "tie"], "left")
+        .join(found, KEYS, "left")
         .mapInArrow(
             _cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
         )

@@ -188,9 +188,15 @@ def test_chat_odd_rows(spark, rules):
 # 4: passages.
 
 
-def passages(rows, length):
+def by_hash(spark, rows):
+    """The order of texts: by doc_id, then by hash."""
+    marked = frame(spark, set(rows), False).select("*", F.xxhash64("text").alias("mark")).collect()
+    return [(r.doc_id, r.text) for r in sorted(marked, key=lambda r: (least(r.doc_id), r.mark))]
+
+
+def passages(rows, length, order=None):
     seen, out = set(), {}
-    for doc_id, text in sorted(set(rows), key=lambda r: least(r[0])):
+    for doc_id, text in order or sorted(set(rows), key=lambda r: least(r[0])):
         words = (text or "").encode().split()
         gone = [False] * len(words)
         for i in range(len(words) - length + 1):
@@ -210,12 +216,33 @@ def test_passages_query(spark, sf_dir):
 
 @pytest.mark.parametrize("length", [3, 20])
 def test_passages_odd_rows(spark, odd_rows, length):
-    rows = [r for r in odd_rows if r[0] != 40]
+    rng = random.Random(6)
+    one, two = sentence(rng, 60), sentence(rng, 60)
+    rows = [*odd_rows, *[(50, one)] * 3, (51, two), (51, one + " " + two), (51, two)]
     out = substrings.remove_repeated_passages(frame(spark, rows), length)
-    assert bag(out.collect()) == passages(rows, length)
+    assert bag(out.collect()) == passages(rows, length, by_hash(spark, rows))
     assert substrings.remove_repeated_passages(frame(spark, []), length).count() == 0
 
 
+def null_ids():
+    """Texts without doc_id, two with one, and 10,000 copies of one row."""
+    rng = random.Random(7)
+    shared = sentence(rng, 30)
+    rows = [(1, shared), (2, shared + " zA"), (2, "short qB")] + [(3, sentence(rng, 25))] * 10_000
+    return rows + [(None, f"{sentence(rng, 3)} {i}" + (" " + shared) * (i % 7 == 0)) for i in range(10_000)]
+
+
+@pytest.mark.parametrize("tie", [None, 0])
+def test_many_texts_of_one_id(spark, monkeypatch, tie):
+    if tie is not None:
+        monkeypatch.setattr(substrings, "_tie", lambda text: F.lit(tie).cast("long"))
+    rows = null_ids()
+    out = substrings.remove_repeated_passages(frame(spark, rows, False), 20).collect()
+    assert bag(out) == passages(rows, 20, by_hash(spark, rows))
+    out = suffixes.remove_repeated_strings(frame(spark, rows, False), 50).collect()
+    assert bag((*r[:4], bytes(r[4])) for r in out) == strings(rows, 50)
+
+
 # 5: strings.
 
 
@@ -245,10 +272,25 @@ def test_strings_odd_rows(spark, odd_rows, monkeypatch):
         assert bag((*r[:4], bytes(r[4])) for r in out) == strings(rows, 50)
 
 
-def test_every_piece_in_a_bucket_of_its_own_strings(spark, odd_rows, monkeypatch):
-    monkeypatch.setattr(suffixes, "BUCKET_PIECES", 3)
-    out = suffixes.remove_repeated_strings(frame(spark, odd_rows), 50).collect()
-    assert bag((*r[:4], bytes(r[4])) for r in out) == strings(odd_rows, 50)
+@pytest.mark.parametrize("pieces", [1, 3, 20])
+def test_leaders_that_are_no_buckets(spark, odd_rows, monkeypatch, pieces):
+    monkeypatch.setattr(suffixes, "BUCKET_PIECES", pieces)
+    rows = [*odd_rows, *[(50, odd_rows[0][1])] * 3]
+    out = suffixes.remove_repeated_strings(frame(spark, rows), 50).collect()
+    assert bag((*r[:4], bytes(r[4])) for r in out) == strings(rows, 50)
+
+
+def test_no_bucket_holds_a_string_of_very_many_documents(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "BUCKET_PIECES", 1_000)
+    deals = []
+    of_large = suffixes._of_large
+    monkeypatch.setattr(suffixes, "_of_large", lambda df: deals.append(df.count()) or of_large(df))
+    rng = random.Random(8)
+    shared = sentence(rng, 20)
+    rows = [(i, f"{sentence(rng, 4)} {shared} {sentence(rng, 4)}") for i in range(20_000)]
+    out = suffixes.remove_repeated_strings(frame(spark, rows, False), 50).collect()
+    assert bag((*r[:4], bytes(r[4])) for r in out) == strings(rows, 50)
+    assert deals and deals[0] > len(rows)
 
 
 # 6: near copies.
