@@ -126,12 +126,16 @@ def distinct_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in parts:
         if not len(frame):
             continue
-        rows = frame.to_numpy()
-        new = np.ones(len(rows), bool)
-        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-        new[0] = last is None or (rows[0] != last).any()
-        last = rows[-1]
-        yield frame if new.all() else frame[new]
+        rows = [frame[c].to_numpy() for c in reversed(frame.columns)]
+        again = np.zeros(len(frame), bool)
+        again[0] = last is not None and all(r[0] == x for r, x in zip(rows, last))
+        # Few rows stand at the place of the row before; only those are compared whole.
+        same = np.flatnonzero(rows[0][1:] == rows[0][:-1])
+        for r in rows[1:]:
+            same = same[r[same + 1] == r[same]]
+        again[same + 1] = True
+        last = [r[-1] for r in rows]
+        yield frame[~again] if again.any() else frame
 
 
 def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,7 +147,7 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not len(frame):
             continue
         leader, under = frame["leader"].to_numpy(), frame["under"].to_numpy()
-        text = frame[["doc", "mark", "place"]].to_numpy()
+        text = [frame[c].to_numpy() for c in ("doc", "mark", "place")]
         same_leader = np.zeros(len(frame), bool)
         same_leader[1:] = leader[1:] == leader[:-1]
         same_leader[0] = leader[0] == last_leader
@@ -156,7 +160,7 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         is_open = np.zeros(len(firsts), bool)
         is_open[1:] |= alike
         is_open[:-1] |= alike
-        extra: list[tuple] = []
+        extra: list[list] = []
         if waiting is not None:
             if len(firsts) and leader[firsts[0]] == waiting[0]:
                 is_open[0] = True
@@ -166,12 +170,13 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 waiting = None
         if len(firsts):
             i = firsts[-1]
-            waiting = (leader[i], text[i], bool(is_open[-1]))
+            waiting = (leader[i], [c[i] for c in text], bool(is_open[-1]))
         last_leader, last_under = leader[-1], under[-1]
         opened = firsts[is_open]
-        out = np.concatenate([text[repeat], text[opened], *(e[None] for e in extra)])
-        found = pd.DataFrame(out, columns=["doc", "mark", "place"])
-        yield found.assign(open=np.arange(len(out)) >= repeat.sum())
+        before = np.array([e for e in extra], np.int64).reshape(-1, 3).T
+        columns = [np.concatenate([c[repeat], c[opened], e]) for c, e in zip(text, before)]
+        is_open = np.arange(len(columns[0])) >= repeat.sum()
+        yield pd.DataFrame(dict(zip(("doc", "mark", "place", "open"), (*columns, is_open))))
 
 
 def _opened(length: int):

@@ -98,19 +98,21 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     has other bytes too."""
     leader_now = under_now = first_now = None
     several = False  # the present leader is known to have different bytes
-    held: list[np.ndarray] = []  # its first rows otherwise
+    held: list[list[np.ndarray]] = []  # its first rows otherwise
 
     def out(of, text, is_open) -> pd.DataFrame:
         # Which leader matters for open stretches only.
-        rows = pd.DataFrame(text, columns=["doc", "mark", "place"])
-        return rows.assign(leader=of, open=is_open)[["leader", "doc", "mark", "place", "open"]]
+        doc, mark, where = text
+        return pd.DataFrame(
+            {"leader": of, "doc": doc, "mark": mark, "place": where, "open": is_open}
+        )
 
     for frame in distinct_rows(parts):
         if not len(frame):
             continue
         leader, under = frame["leader"].to_numpy(), frame["under"].to_numpy()
-        text = frame[["doc", "mark", "place"]].to_numpy()
-        doc = text[:, 0]
+        text = [frame[c].to_numpy() for c in ("doc", "mark", "place")]
+        doc = text[0]
         new_leader = np.ones(len(frame), bool)
         new_leader[1:] = leader[1:] != leader[:-1]
         goes_on = leader[0] == leader_now
@@ -129,8 +131,8 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             many[0] = True
         is_open = ~repeat & many[run]
         pieces = [
-            out(0, text[repeat], False),
-            out(leader[is_open], text[is_open], True),
+            out(0, [c[repeat] for c in text], False),
+            out(leader[is_open], [c[is_open] for c in text], True),
         ]
         if held and goes_on and many[0]:
             pieces += [out(leader_now, h, True) for h in held]
@@ -139,7 +141,7 @@ def _resolve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         several = bool(many[-1])
         if not several:
             rest = ~repeat & (run == run[-1])
-            held.append(text[rest])
+            held.append([c[rest] for c in text])
         leader_now, under_now, first_now = leader[-1], under[-1], first[group[-1]]
         yield pd.concat(pieces)
 
