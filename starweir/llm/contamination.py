@@ -5,7 +5,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +43,8 @@ _PUNCTUATION = "!\"$%&'()*+,-./:;<=>?@[\\]^_`{|}~’‘“”«»¿¡…–—"
 
 @dataclass(frozen=True)
 class TemplateRules:
-    #: Words in a window, and the share of an item's windows that must be found.
+    #: Words in a window, and the share of an item's windows that must be found. An item
+    #: of fewer words is one window.
     words: int = 5
     share: float = 0.8
     #: Share of an item's slot values that must have one counterpart in the document.
@@ -129,8 +131,8 @@ def _plain_words(text: Column) -> Column:
     return F.split(F.lower(F.regexp_replace(text, _DELETED, "")), _CUT)
 
 
-def _items(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
-    """One row per item with at least one window: its words, and how many windows."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    """One row per item with at least one word: its words, and how many."""
     return (
         benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
         .select(
@@ -140,8 +142,8 @@ def _items(benchmark: DataFrame, rules: TemplateRules) -> DataFrame:
             template_words(F.col("text")).alias("item_words"),
         )
         .distinct()
-        .withColumn("windows", F.size("item_words") - rules.words + 1)
-        .where("windows > 0")
+        .withColumn("length", F.size("item_words"))
+        .where("length > 0")
     )
 
 
@@ -307,11 +309,28 @@ def find_contaminated(
     distinct values, ``consistent`` have one counterpart that has no other. ``changed``
     counts values that differ: 0 for a verbatim copy.
 
-    NULL texts, and items with fewer words than a window or a NULL id, match nothing. A
-    NULL doc_id is kept as such. Equal rows count once; texts of one doc_id are told
-    apart by ``tie``. Empty tables give no rows. Equal texts are looked at once.
+    An item with fewer words than a window is one window of its own length, and found only
+    with its own values: with others, a few words say nothing.
+
+    NULL texts, and items without words or with a NULL id, match nothing. A NULL doc_id is
+    kept as such. Equal rows count once; texts of one doc_id are told apart by ``tie``.
+    Empty tables give no rows. Equal texts are looked at once.
     """
-    items = stage(_items(benchmark, rules), "items")
+    items = stage(_items(benchmark), "items")
+    lengths = items.where(F.col("length") < rules.words).select("length").distinct()
+    # Fewer than a window has words.
+    short = [
+        _found(docs, items.where(F.col("length") == n), replace(rules, words=n)).where("changed = 0")
+        for (n,) in sorted(lengths.collect())
+    ]
+    return reduce(
+        DataFrame.unionByName, short, _found(docs, items.where(F.col("length") >= rules.words), rules)
+    )
+
+
+def _found(docs: DataFrame, items: DataFrame, rules: TemplateRules) -> DataFrame:
+    """:func:`find_contaminated` for items that have at least one window."""
+    items = items.withColumn("windows", F.col("length") - rules.words + 1).drop("length")
     windows = stage(_item_windows(items, rules), "item-windows")
     candidates = _candidates(docs, items, windows, rules)
     held = _small(stage(candidates.select("tie", "check").distinct(), "held"), rules)
