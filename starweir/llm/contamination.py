@@ -317,15 +317,15 @@ def find_contaminated(
     Empty tables give no rows. Equal texts are looked at once.
     """
     items = stage(_items(benchmark), "items")
-    lengths = items.where(F.col("length") < rules.words).select("length").distinct()
-    # Fewer than a window has words.
-    short = [
-        _found(docs, items.where(F.col("length") == n), replace(rules, words=n)).where("changed = 0")
-        for (n,) in sorted(lengths.collect())
-    ]
-    return reduce(
-        DataFrame.unionByName, short, _found(docs, items.where(F.col("length") >= rules.words), rules)
-    )
+    words = F.least("length", F.lit(rules.words))
+    # As many numbers as a window has words, at most.
+    sizes = [n for (n,) in items.select(words).distinct().collect()] or [rules.words]
+
+    def found(n: int) -> DataFrame:
+        some = _found(docs, items.where(words == n), replace(rules, words=n))
+        return some if n == rules.words else some.where("changed = 0")
+
+    return reduce(DataFrame.unionByName, map(found, sorted(sizes)))
 
 
 def _found(docs: DataFrame, items: DataFrame, rules: TemplateRules) -> DataFrame:
