@@ -68,6 +68,8 @@ TABLES = (
 AS_OF = datetime.date(2000, 1, 1)
 CLEANSE_AS_OF = datetime.date(2025, 1, 1)
 KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Compressed files are not divided when they are read, so they are kept small.
+PACKED = {"compression": "gzip", "maxRecordsPerFile": "1000000"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -517,7 +519,7 @@ def _landed(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> tuple[Dat
         source = table(spark, sf_dir, name)
         arrays = [f.name for f in source.schema if isinstance(f.dataType, T.ArrayType)]
         texts = source.withColumns({c: F.col(c).cast("string") for c in arrays})
-        write_table(texts, f"{root}/source/{name}.csv", "csv", **KEEP_BLANKS, **DOUBLED.options())
+        write_table(texts, f"{root}/source/{name}.csv", "csv", **KEEP_BLANKS, **PACKED, **DOUBLED.options())
 
     at_once([partial(export, name) for name in names])
     return land_csv_folder(spark, f"{root}/source", f"{root}/raw", dialect=DOUBLED), f"{root}/raw"

@@ -90,13 +90,15 @@ def write_table(df: DataFrame, path: str, format: str = "parquet", **options: st
     ``df`` may itself read from ``path``. The rows are counted while they are written. CSV
     gets a header line in each part, and like every CSV that Spark writes loses blanks
     around values unless ``ignoreLeadingWhiteSpace`` and ``ignoreTrailingWhiteSpace`` are
-    set to False.
+    set to False. Parquet is compressed by zstd unless ``compression`` says otherwise.
     """
     counted = Observation()
     beside = _beside(path, "new")
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if format == "csv":
         writer = writer.option("header", True)
+    elif format == "parquet":
+        writer = writer.option("compression", "zstd")
     try:
         writer.options(**options).format(format).save(beside)
     except BaseException:

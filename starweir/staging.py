@@ -74,8 +74,8 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             files.delete(path, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and return the written table."""
     location = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(location)
+    df.write.mode("overwrite").parquet(location, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(location)

@@ -6,7 +6,7 @@ import random
 import pytest
 from conftest import rows
 
-from starweir.sources import Dialect, csv_records, land_csv_folder, parse_records, read_table
+from starweir.sources import Dialect, csv_records, land_csv_folder, parse_records, read_table, records
 from starweir.sources.records import has_open_lines
 
 DOUBLED = Dialect(escape='"')
@@ -50,6 +50,30 @@ def test_records_over_blocks(spark, tmp_path, small_blocks, ending):
     assert rows(found) == expected
 
 
+@pytest.mark.parametrize(
+    "held_bytes, end, told",
+    [(records.HELD_BYTES, '"y', True), (400, '"y', True), (records.HELD_BYTES, '",', False)],
+)
+def test_text_inside_blocks_is_not_shuffled(
+    spark, tmp_path, small_blocks, monkeypatch, held_bytes, end, told
+):
+    """Only lines at the ends of blocks, or of records too long to hold, go over the blocks,
+    and whole blocks, after a file's first, of which no line tells what is quoted."""
+    rng = random.Random(5)
+    made = [[str(i), "x\n" * rng.randrange(9) + end, "é" * rng.randrange(20)] for i in range(2000)]
+    made[700][1] = "long\n" * 1000 + '"'
+    with open(tmp_path / "0.csv", "w", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows([["id", "b", "c"], *made])
+    left, settled, over = [], records._settled, records._over_blocks
+    monkeypatch.setattr(records, "_settled", lambda: settled(held_bytes))
+    monkeypatch.setattr(records, "_over_blocks", lambda lines: left.append(lines) or over(lines))
+    found = parse_records(csv_records(spark, str(tmp_path), DOUBLED), ["id", "b", "c"], "bad", DOUBLED)
+    assert rows(found) == sorted(((i, b or None, c or None, None) for i, b, c in made), key=repr)
+    blocks = left[0].select("_block").distinct().count()
+    assert blocks > 5
+    assert 0 < left[0].count() < (1050 + 25 * blocks if told else 11_500)
+
+
 def test_another_escape(spark, tmp_path):
     (tmp_path / "a.csv").write_text('a;b\n1;"x\\" \n y"\n2;"z"\n')
     dialect = Dialect(separator=";")

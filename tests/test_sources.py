@@ -54,6 +54,13 @@ def test_written_tables_come_back(spark, tmp_path, format):
     assert read_table(spark, path, df.schema, format).count() == 1
 
 
+def test_written_parquet_is_packed_unless_told(spark, tmp_path):
+    for name, options, ending in (("a", {}, ".zstd.parquet"), ("b", {"compression": "none"}, ".parquet")):
+        write_table(spark.range(3), str(tmp_path / name), **options)
+        parts = [f.name for f in (tmp_path / name).glob("part-*")]
+        assert parts and all(f.endswith(f"c000{ending}") for f in parts)
+
+
 def test_an_empty_table_keeps_its_columns(spark, tmp_path):
     assert write_table(spark.range(0), str(tmp_path / "t")) == 0
     assert read_table(spark, str(tmp_path / "t")).columns == ["id"]
