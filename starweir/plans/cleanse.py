@@ -33,6 +33,9 @@ COUNTRY = {"Germany": ["DE"], "United States": ["US", "USA"]}
 CATEGORY_WIDTH = 5
 ERP_ID_PREFIX = "NAS"
 
+#: Tables whose transform looks at each row by itself, without a shuffle.
+ROW_BY_ROW = {"sales_details", "customers", "customer_locations", "product_categories"}
+
 
 def cleanse_crm_customer(df: DataFrame) -> DataFrame:
     """The latest record of each customer, names trimmed, codes as labels."""

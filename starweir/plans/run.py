@@ -19,7 +19,7 @@ from starweir.operators.quality import (
     reject_report,
     require_ready,
 )
-from starweir.plans.cleanse import cleansers
+from starweir.plans.cleanse import ROW_BY_ROW, cleansers
 from starweir.plans.star import build_dim_customer, build_dim_product, build_fact_sales
 from starweir.plans.warehouse import Warehouse, load_warehouse
 from starweir.schemas import CLEANSED, SOURCES, WAREHOUSE
@@ -96,6 +96,8 @@ def cleanse(
     A raw value that does not fit its declared type becomes NULL. It is counted while
     the typed table is written, and the raw rows that have one are kept, whole, in the
     layer ``rejected``: also those that no transform keeps, as their key is NULL now.
+    Where the transform shuffles nothing, the typed table is not written by itself: the
+    tasks that write the cleansed one count.
     """
     require_ready(layers.spark, {t: layers.path("raw", t) for t in tables})
     transforms = cleansers(as_of, labelled_gender)
@@ -107,12 +109,15 @@ def cleanse(
             if not bad:
                 return layers.write("cleansed", table, transforms[table](raw)), {}
             counts = [F.count_if(is_bad).alias(column) for column, is_bad in bad.items()]
-            typed = stage(conform(raw.observe(seen, *counts), SOURCES[table]), "typed")
+            typed = conform(raw.observe(seen, *counts), SOURCES[table])
+            if table not in ROW_BY_ROW:
+                typed = stage(typed, "typed")
+            written = layers.write("cleansed", table, transforms[table](typed))
             rejects = {column: n for column, n in seen.get.items() if n}
             if rejects:
                 rows = reduce(Column.__or__, (bad[column] for column in rejects))
                 layers.write("rejected", table, raw.where(rows))
-            return layers.write("cleansed", table, transforms[table](typed)), rejects
+            return written, rejects
 
     done = dict(zip(tables, at_once([partial(job, t) for t in tables])))
     return Cleansed({t: n for t, (n, _) in done.items()}, {t: r for t, (_, r) in done.items()})

@@ -5,6 +5,7 @@ from conftest import rows
 
 from starweir.functions import recode
 from starweir.operators.quality import readiness
+from starweir.plans import run
 from starweir.plans.run import Layers, cleanse, validate
 from starweir.schemas import SOURCES
 from starweir.sources import land_csv_folder, write_table
@@ -46,6 +47,23 @@ def test_amounts_may_be_large_and_fractional(layers):
     ]
 
 
+def test_a_table_cleansed_row_by_row_is_written_once(layers, monkeypatch):
+    staged, stage = [], run.stage
+    monkeypatch.setattr(run, "stage", lambda df, name: staged.append(df.columns) or stage(df, name))
+    raw(layers, "sales_details",
+        ("S1", "P", "?1", "20250101", "0", None, "5", "1", "5"),
+        ("S2", "P", "1", "20250101", "0", "x", "y", "2", "z"))
+    raw(layers, "cust_info", ("A12", "K", "a", "b", "S", "M", "2025-01-01"))
+    done = cleanse(layers, tables=["sales_details", "cust_info"])
+    assert staged == [SOURCES["cust_info"].names]
+    assert done.rows == {"sales_details": 2, "cust_info": 0}
+    assert done.rejects == {
+        "sales_details": {"sls_cust_id": 1, "sls_due_dt": 1, "sls_sales": 1, "sls_price": 1},
+        "cust_info": {"cst_id": 1},
+    }
+    assert layers.read("rejected", "sales_details").count() == 2
+
+
 def test_ragged_lines_are_kept(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "t.csv").write_text("a,b\n1,2\n4,5,6\n7\n")
