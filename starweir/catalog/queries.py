@@ -602,7 +602,7 @@ def _whole_run(spark: SparkSession, sf_dir: str) -> tuple[RunResult, FolderWareh
 
     def export(name: str) -> None:
         source = SOURCE_TABLES[name](spark, sf_dir)
-        write_table(source, f"{root}/crm/{name}.csv", "csv", **KEEP_BLANKS)
+        write_table(source, f"{root}/crm/{name}.csv", "csv", **KEEP_BLANKS, **PACKED)
 
     at_once([partial(export, name) for name in CRM_TABLES])
     warehouse = FolderWarehouse(spark, f"{root}/warehouse")
