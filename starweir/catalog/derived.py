@@ -75,15 +75,21 @@ def crm_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def crm_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the customer and date of their order."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem").join(
-        orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey", "left"
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS l_orderkey", "o_custkey", "CAST(o_orderdate AS DATE) AS o_orderdate"
     )
-    lines = lines.selectExpr(
-        "*",
+    # What is shuffled are days and whole units rather than instants and cents.
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        "l_returnflag",
+        "l_linestatus",
+        "CAST(l_shipdate AS DATE) AS l_shipdate",
         "CAST(l_quantity AS BIGINT) AS q",
         "floor(l_extendedprice / 100) + IF(l_linenumber = 4, 0.5D, 0D) AS unit",
     )
+    lines = lines.join(orders, "l_orderkey", "left")
     return conform(
         lines.selectExpr(
             "'SO' || l_orderkey AS sls_ord_num",

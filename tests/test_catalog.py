@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
-from starweir.catalog import oracle, queries
+from starweir.catalog import derived, oracle, queries
 
 QUERIES, SQL = queries.queries(), oracle.oracle_sql()
 
@@ -25,6 +25,29 @@ def test_same_rows_as_sql(spark, duck, sf_dir, name):
     assert found == expected
 
 
+def test_sales_are_joined_in_short_types(spark, sf_dir):
+    """Days and whole units cross the network, not what they are taken from."""
+    plan = derived.crm_sales(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join LeftOuter"):].splitlines()
+    lines = next(line for line in joined if "l_partkey" in line)
+    assert " AS unit" in lines and " AS q" in lines and "AS l_shipdate" in lines
+
+
+def test_files_the_queries_make_are_packed(spark, sf_dir, monkeypatch):
+    made, write = {}, queries.write_table
+
+    def seen(df, path, format="parquet", **options):
+        rows = write(df, path, format, **options)
+        made[path] = df.sparkSession.read.format("binaryFile").load(path).select("path").collect()
+        return rows
+
+    monkeypatch.setattr(queries, "write_table", seen)
+    counts = queries.whole_run(spark, sf_dir)
+    assert counts.where("NOT matches").count() == 0
+    found = [row.path for files in made.values() for row in files]
+    assert len(made) == 3 and all(path.endswith(".csv.gz") for path in found)
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns[:3] == ["order_number", "product_key", "customer_key"]
